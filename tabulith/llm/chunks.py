@@ -30,6 +30,13 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     return pc.fill_null(pc.cast(column, pa.large_string()), "")
 
 
+def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, and where each begins (and the end)."""
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    return data, ends - ends[0]
+
+
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words between the six ASCII spaces: first word of each text (and the end), the word's code at
     each position, and the distinct words by code."""

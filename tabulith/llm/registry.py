@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tabulith.llm import exact_dedup, language, mixing, secret_scan, url_filter
+from tabulith.llm import exact_dedup, language, mixing, quality, secret_scan, simhash, url_filter
 
 
 def queries() -> dict:
     return {
         "op2_secret_scan": secret_scan.op2_secret_scan,
+        "op5_quality_rules": quality.op5_quality_rules,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op7_mixing": mixing.op7_mixing,
         "op8_language_id": language.op8_language_id,
         "op9_url_filter": url_filter.op9_url_filter,
+        "op10_simhash": simhash.op10_simhash,
     }
 
 
