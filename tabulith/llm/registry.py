@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from tabulith.llm import exact_dedup, language, mixing, quality, secret_scan, simhash, url_filter
+import corpus_pipeline
+from tabulith.llm import bpe, dac, exact_dedup, language, lm_score, mixing, quality, secret_scan, simhash, url_filter
 
 
 def queries() -> dict:
     return {
+        "op1_lm_score": lm_score.op1_lm_score,
         "op2_secret_scan": secret_scan.op2_secret_scan,
+        "op3_bpe": bpe.op3_bpe,
+        "op4_token_file": dac.op4_token_file,
         "op5_quality_rules": quality.op5_quality_rules,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op7_mixing": mixing.op7_mixing,
         "op8_language_id": language.op8_language_id,
         "op9_url_filter": url_filter.op9_url_filter,
         "op10_simhash": simhash.op10_simhash,
+        "pipeline": corpus_pipeline.run,
     }
 
 
