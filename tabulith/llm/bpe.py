@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -47,10 +48,15 @@ def tokenizer(path: str):
 
 @lru_cache(maxsize=4)
 def _added(path: str) -> re.Pattern | None:
-    found = [x.content for x in tokenizer(path).get_added_tokens_decoder().values()]
+    found = _added_strings(path)
     return re.compile("(" + "|".join(map(re.escape, sorted(found, key=len, reverse=True))) + ")") if found else None
 
 
+@lru_cache(maxsize=4)
+def _added_strings(path: str) -> tuple[str, ...]:
+    return tuple(x.content for x in tokenizer(path).get_added_tokens_decoder().values())
+
+
 def default_file() -> str:
     import public_tokenizers
 
@@ -73,7 +79,7 @@ def units(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, list[str
     first = offsets[:-1]
     codes[first] += n  # nothing stands before a text's first piece
     used, codes = np.unique(codes, return_inverse=True)
-    names = coded.dictionary.to_pylist()
+    names = chunks.strings(coded.dictionary)
     found = [" " + names[c] if c < n else names[c - n] for c in used.tolist()]
     if (empty := found.index("") if "" in found else -1) >= 0:
         keep = codes != empty
@@ -167,7 +173,7 @@ def build_table(docs: DataFrame, tokenizer_file: str | None = None, text_col: st
         for batch in batches:
             which = batch.column(0).to_numpy()
             for s in np.unique(which).tolist():
-                mine.setdefault(s, set()).update(batch.column(1).filter(pa.array(which == s)).to_pylist())
+                mine.setdefault(s, set()).update(chunks.strings(batch.column(1).filter(pa.array(which == s))))
         for s, found in mine.items():
             words = sorted(found)
             key, check = _keys(words)
@@ -185,11 +191,45 @@ def build_table(docs: DataFrame, tokenizer_file: str | None = None, text_col: st
     return WordTable(where, shards, path)
 
 
-def encode_units(found: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """ids of units by the library, one unit after another, and how many each has."""
-    ids = [x.ids for x in tokenizer(path).encode_batch_fast(found, add_special_tokens=False)]
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())), sizes
+#: The byte-level pre-tokenizer's pattern, for ASCII (fixed value).
+_ASCII_PIECES = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+
+
+@lru_cache(maxsize=4)
+def _ascii_letters(path: str) -> dict[int, str]:
+    """The vocabulary's letters for ASCII bytes."""
+    return {b: chr(b) if 33 <= b <= 126 else chr(256 + b - (94 if b == 127 else 0)) for b in range(128)}
+
+
+def encode_units(found: list[str], path: str, at_once: int = 5000) -> tuple[np.ndarray, np.ndarray]:
+    """ids of units by the library, one unit after another, and how many each has.
+
+    ASCII units are cut here and go to the library's BPE model piece by piece, which spares its
+    bookkeeping; all others, and those with an added token, go through the whole library."""
+    model, added, letters = tokenizer(path).model, _added_strings(path), _ascii_letters(path)
+    made: list[list[int]] = [[]] * len(found)
+    of_piece: dict[str, list[int]] = {}
+    rest = []
+    for i, unit in enumerate(found):
+        if not unit.isascii() or any(x in unit for x in added if x[0] in unit):
+            rest.append(i)
+            continue
+        ids: list[int] = []
+        for piece in _ASCII_PIECES.findall(unit):
+            own = of_piece.get(piece)
+            if own is None:
+                own = of_piece[piece] = [t.id for t in model.tokenize(piece.replace(" ", letters[32]) if piece.isprintable() else piece.translate(letters))]
+            ids = ids + own if ids else own
+        made[i] = ids
+    for at in range(0, len(rest), at_once):
+        some = rest[at : at + at_once]
+        for i, x in zip(some, tokenizer(path).encode_batch_fast([found[i] for i in some], add_special_tokens=False), strict=True):
+            made[i] = x.ids
+    sizes = np.fromiter(map(len, made), np.int64, len(made))
+    flat = array("I")
+    for ids in made:
+        flat.extend(ids)
+    return np.array(flat, np.uint32), sizes
 
 
 def _carried(docs: DataFrame, text_col: str, extra: dict[str, Column]) -> tuple[DataFrame, str]:
@@ -275,7 +315,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
-def encoder(path: str, most: int = 300_000) -> Encoder:
+def encoder(path: str, most: int = 500_000) -> Encoder:
     """Encodes texts by their distinct units without a table; up to ``most`` units are remembered."""
     known: dict[str, bytes] = {}
 

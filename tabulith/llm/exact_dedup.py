@@ -62,9 +62,10 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     fresh = groups.hint("merge").join(index.rows().select("digest"), "digest", "left_anti")
     index.append(fresh.select("digest", F.col("first.doc_id").alias("keep_id"), (-F.col("first.less")).alias("keep_points"), F.col("rows").alias("group_size"), F.col("first.text_key").alias("keep_key"), F.lit(batch).alias("batch"), F.col("first.row").alias("keep_row")))
     held = index.rows()
-    later = groups.join(held.where(F.col("batch") != batch).select("digest"), "digest", "left_semi").select("digest", "rows")
-    sizes = held.join(later, "digest", "left").withColumn("group_size", F.col("group_size") + F.coalesce("rows", F.lit(0)))
-    out = seen.hint("merge").join(sizes.select("digest", "keep_id", "group_size", "batch", "keep_row"), "digest")
+    earlier = F.when(F.col("batch") != batch, F.col("rows")).otherwise(0)
+    sizes = groups.select("digest", "rows").hint("merge").join(held, "digest").select("digest", "keep_id", (F.col("group_size") + earlier).alias("group_size"), "batch", "keep_row")
+    # written first, so that nothing but this join stands on the exchanges and a hot digest can be split
+    out = seen.hint("merge").join(stash(sizes, "groups"), "digest")
     kept = (F.col("batch") == batch) & (F.col("keep_row") == F.col("row"))
     return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "points", "text_key")
 

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,12 +35,12 @@ _LOW = np.uint64((1 << 48) - 1)
 
 
 def _hashes(distinct: pa.Array) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(x) for x in distinct.to_pylist()), np.uint64, len(distinct))
+    return np.fromiter((xxhash.xxh64_intdigest(x) for x in chunks.strings(distinct)), np.uint64, len(distinct))
 
 
 def _bigrams(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all bigrams' first and second words, and each text's first bigram (and the end)."""
-    offsets, codes, distinct = chunks.words(pc.ascii_lower(chunks.texts(part)))
+    offsets, codes, distinct = chunks.words(chunks.texts(part, lower=True))
     words = _hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
     return np.insert(words, offsets[:-1], BEGIN), np.insert(words, offsets[1:], END), offsets + np.arange(len(offsets))
 
