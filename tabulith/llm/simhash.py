@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tabulith.llm import chunks
 from tabulith.llm.components import components
-from tabulith.llm.work import keep_rows, prepare, stash, text_key
+from tabulith.llm.work import prepare, stash, text_key
 
 SEED = 42
 SHINGLE = 3
@@ -123,18 +123,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return seen.join(classes, "fp").select("doc_id", "fp", "component_id", "text_key", "points")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """One row of docs for each component, with all its columns: the one with the smallest id (null
-    last), and of rows with that id the one with the least text key."""
-    found = near_duplicates(docs, id_col, text_col, shingle)
-    found = stash(found.withColumn("component", F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp "), "fp"))), "components")
-    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "points")).alias("x")).select("x.doc_id", "x.text_key", "x.points")
-    tied = found.groupBy("doc_id", "text_key", "points").agg(F.count(F.lit(1)).alias("ties"))
-    right = tied.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), F.col("points").alias("p"), "ties")
-    keep = first.join(right, first["doc_id"].eqNullSafe(F.col("d")) & (first["text_key"] == F.col("t")) & (first["points"] == F.col("p")))
-    return keep_rows(docs, text_key(docs, id_col, text_col), keep.select(F.col("d").alias("k0"), F.col("t").alias("k1"), F.col("p").alias("k2"), "ties"))
-
-
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
