@@ -156,7 +156,7 @@ def build_table(docs: DataFrame, tokenizer_file: str | None = None, text_col: st
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: set[str] = set()
-        for part in chunks.pieces(batches):
+        for part in chunks.pieces(batches, most=2 << 20):
             held.update(units(chunks.texts(part), path)[2])
             if len(held) > _HELD:
                 yield emit(held)
@@ -247,7 +247,7 @@ def encode(docs: DataFrame, table: WordTable, extra: dict[str, Column], text_col
     frame, schema = _carried(docs, text_col, extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks.pieces(batches):
+        for part in chunks.pieces(batches, most=2 << 20):
             offsets, codes, found = units(chunks.texts(part), table.tokenizer_file)
             if "" in found:  # a piece that no position has
                 used, codes = np.unique(codes, return_inverse=True)
@@ -286,7 +286,7 @@ def decode(encoded: DataFrame, tokenizer_file: str | None = None, ids_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, start = pieces(path)
-        for batch in chunks.pieces(batches, ids_col, 8 << 20):
+        for batch in chunks.pieces(batches, ids_col, 4 << 20):
             column = pc.fill_null(pc.cast(batch.column(batch.schema.get_field_index(ids_col)), pa.large_binary()), b"")
             raw, ends = chunks.raw(column)
             ids = np.frombuffer(raw.tobytes(), "<u4")

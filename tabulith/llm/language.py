@@ -63,7 +63,7 @@ def _bags(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Arra
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
-    for part in chunks.pieces(batches):
+    for part in chunks.pieces(batches, most=2 << 20):
         langs = part.column(part.schema.get_field_index("lang")).to_pylist()
         text, word, n, words = _bags(chunks.texts(part))
         if not len(text):
@@ -157,7 +157,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], extra: dict[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_p = shared.value
-        for part in chunks.pieces(batches):
+        for part in chunks.pieces(batches, most=2 << 20):
             n_docs = part.num_rows
             text, word, count, words = _bags(chunks.texts(part))
             share = np.zeros((n_docs, len(langs)), np.float32)

@@ -23,11 +23,13 @@ SPACE = r"[\x20\x09-\x0D]"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it."""
+    """Lets Python workers import this package from where the driver has it, and give freed memory back."""
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+        # workers live on from stage to stage: large blocks are mapped, so that freeing returns them
+        env |= {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
