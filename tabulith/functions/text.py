@@ -15,12 +15,16 @@ def normalised(text: Column) -> Column:
 
 def title_type(text: Column, notes: bool = False) -> Column:
     """Type of a title text, null if none fits or an exclusion does; schedules go before notes."""
-    t = normalised(text)
-    hit = lambda patterns: t.rlike("|".join(patterns))
-    out = F.when(hit(vocab.EXCLUDED_TITLES), F.lit(None).cast("string"))
-    for kind, patterns in (vocab.SCHEDULE_TITLES | (vocab.NOTES_TITLES if notes else {})).items():
-        out = out.when(hit(patterns), kind)
-    return out
+
+    def kind_of(t: Column) -> Column:
+        hit = lambda patterns: t.rlike("|".join(patterns))
+        out = F.when(hit(vocab.EXCLUDED_TITLES), F.lit(None).cast("string"))
+        for kind, patterns in (vocab.SCHEDULE_TITLES | (vocab.NOTES_TITLES if notes else {})).items():
+            out = out.when(hit(patterns), kind)
+        return out
+
+    # an array of one: the text is normalised once, not once for each type
+    return F.get(F.transform(F.array(normalised(text)), kind_of), F.lit(0))
 
 
 def _group(token: Column) -> Column:

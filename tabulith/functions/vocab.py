@@ -16,6 +16,9 @@ SCHEDULE_TITLES = {
 EXCLUDED_TITLES = (r"revision\s+schedule",)
 NOTES_TITLES = {"general_notes": (r"general\s+notes?:?",), "legend": (r"legends?:?",), "specifications": (r"specifications?:?",)}
 
+# Texts, lower case, with which a title block begins.
+TITLE_BLOCK_STOPS = (r"^client:?$", r"^project:?$", r"^revision\s+schedule", r"^structural\s+consultant", r"^drawing\s+title")
+
 # Canonical fields and the header texts that stand for them, lower case.
 HEADER_ALIASES = {
     "beam_mark": ("beam mkd", "beam mkd.", "beam mark", "beam no", "mark"),

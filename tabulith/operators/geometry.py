@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 PAGE = ["doc_id", "page_no"]
 
 
-def classify_segments(segments: DataFrame, straight: float = 2.0, least: float = 5.0) -> DataFrame:
-    """Rulings from straight segments: page, orientation, position, start, end. Horizontal goes first."""
+def classify_segments(segments: DataFrame, straight: float = 2.0, least: float = 5.0, per: list[str] = PAGE) -> DataFrame:
+    """Rulings from straight segments: keys, orientation, position, start, end. Horizontal goes first."""
     dx, dy = F.abs(F.col("p2x") - F.col("p1x")), F.abs(F.col("p2y") - F.col("p1y"))
     s = segments.where((F.col("kind") == "l") & (F.hypot(dx, dy) >= least) & ((dx < straight) | (dy < straight)))
     h = F.when(dy < straight, True).otherwise(False)
     mid = lambda a: (F.col(f"p1{a}") + F.col(f"p2{a}")) / 2
     low, high = lambda a: F.least(f"p1{a}", f"p2{a}"), lambda a: F.greatest(f"p1{a}", f"p2{a}")
-    return s.select(*PAGE, F.when(h, "horizontal").otherwise("vertical").alias("orientation"), F.when(h, mid("y")).otherwise(mid("x")).alias("position"), F.when(h, low("x")).otherwise(low("y")).alias("start"), F.when(h, high("x")).otherwise(high("y")).alias("end"))
+    return s.select(*per, F.when(h, "horizontal").otherwise("vertical").alias("orientation"), F.when(h, mid("y")).otherwise(mid("x")).alias("position"), F.when(h, low("x")).otherwise(low("y")).alias("start"), F.when(h, high("x")).otherwise(high("y")).alias("end"))
 
 
 def islands(df: DataFrame, keys: list[str], by: str, gap: float, start: str | None = None) -> DataFrame:
@@ -25,29 +25,29 @@ def islands(df: DataFrame, keys: list[str], by: str, gap: float, start: str | No
     return df.withColumn("__far", far).withColumn("island", F.sum("__far").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__far")
 
 
-def merge_collinear(lines: DataFrame, tolerance: float = 2.0) -> DataFrame:
+def merge_collinear(lines: DataFrame, tolerance: float = 2.0, per: list[str] = PAGE) -> DataFrame:
     """One ruling for each chain of rulings within the tolerance: mean position, least start, greatest end."""
-    keys = [*PAGE, "orientation"]
+    keys = [*per, "orientation"]
     grouped = islands(lines, keys, "position", tolerance).groupBy(*keys, "island")
     return grouped.agg(F.avg("position").alias("position"), F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
 
 
-def trim_bottom(lines: DataFrame, gap: float = 40.0) -> DataFrame:
+def trim_bottom(lines: DataFrame, gap: float = 40.0, per: list[str] = PAGE) -> DataFrame:
     """Rulings without the horizontals below the first gap over ``gap``; fewer than two rows stay as they are."""
-    rows = lines.where("orientation = 'horizontal'").select(*PAGE, "position").distinct()
-    order = Window.partitionBy(*PAGE).orderBy("position")
-    ends = rows.withColumn("next", F.lead("position").over(order)).groupBy(*PAGE).agg(F.min(F.when(F.col("next") - F.col("position") > gap, F.col("position"))).alias("bottom"))
-    return lines.join(ends, PAGE, "left").where("orientation = 'vertical' or bottom is null or position <= bottom + 1").drop("bottom")
+    rows = lines.where("orientation = 'horizontal'").select(*per, "position").distinct()
+    order = Window.partitionBy(*per).orderBy("position")
+    ends = rows.withColumn("next", F.lead("position").over(order)).groupBy(*per).agg(F.min(F.when(F.col("next") - F.col("position") > gap, F.col("position"))).alias("bottom"))
+    return lines.join(ends, per, "left").where("orientation = 'vertical' or bottom is null or position <= bottom + 1").drop("bottom")
 
 
-def grid_cells(lines: DataFrame) -> DataFrame:
-    """Cells (r, c, x0, y0, x1, y1) of a page's grid from at least two positions each way."""
-    lists = lines.groupBy(*PAGE).agg(*(F.array_sort(F.collect_set(F.when(F.col("orientation") == o, F.bround("position", 1)))).alias(n) for o, n in (("horizontal", "ys"), ("vertical", "xs"))))
+def grid_cells(lines: DataFrame, per: list[str] = PAGE) -> DataFrame:
+    """Cells (r, c, x0, y0, x1, y1) of each grid from at least two positions each way."""
+    lists = lines.groupBy(*per).agg(*(F.array_sort(F.collect_set(F.when(F.col("orientation") == o, F.bround("position", 1)))).alias(n) for o, n in (("horizontal", "ys"), ("vertical", "xs"))))
     spans = lambda a: F.transform(F.sequence(F.lit(1), F.size(a) - 1), lambda i: F.struct(F.element_at(a, i).alias("a"), F.element_at(a, i + 1).alias("b")))
     grid = lists.where((F.size("ys") >= 2) & (F.size("xs") >= 2))
-    rows = grid.select(*PAGE, "xs", F.posexplode(spans(F.col("ys"))).alias("r", "y"))
-    cells = rows.select(*PAGE, "r", "y", F.posexplode(spans(F.col("xs"))).alias("c", "x"))
-    return cells.select(*PAGE, F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"), F.col("x.a").alias("x0"), F.col("y.a").alias("y0"), F.col("x.b").alias("x1"), F.col("y.b").alias("y1"))
+    rows = grid.select(*per, "xs", F.posexplode(spans(F.col("ys"))).alias("r", "y"))
+    cells = rows.select(*per, "r", "y", F.posexplode(spans(F.col("xs"))).alias("c", "x"))
+    return cells.select(*per, F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"), F.col("x.a").alias("x0"), F.col("y.a").alias("y0"), F.col("x.b").alias("x1"), F.col("y.b").alias("y1"))
 
 
 def cell_text(words: DataFrame, cells: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabulith.functions import vocab
 from tabulith.functions.text import normalised, title_type, token_sort_ratio
+from tabulith.functions.words import best_alias
 
 REGION = ["doc_id", "region_index"]
 
@@ -29,6 +30,27 @@ def header_fields(headers: DataFrame) -> DataFrame:
     return headers.withColumn("canonical_field", F.try_element_at(table, normalised(F.col("raw_header"))))
 
 
+def header_fields_fuzzy(headers: DataFrame) -> DataFrame:
+    """headers(raw_header) with canonical_field by alias, or by the best alias that is near enough.
+
+    Each distinct header is matched once; the literal aliases travel with the function."""
+    aliases: dict[str, str] = {}
+    for field, names in vocab.HEADER_ALIASES.items():
+        for a in names:
+            aliases.setdefault(a, field)
+    distinct = headers.select(F.col("raw_header").alias("h")).distinct().withColumn("canonical_field", best_alias(aliases)(normalised(F.col("h"))))
+    return headers.join(distinct, F.col("raw_header").eqNullSafe(F.col("h")), "left").drop("h")
+
+
+def add_terms(store: DataFrame, terms: DataFrame, least: float = vocab.FUZZY_THRESHOLD) -> DataFrame:
+    """store(term, category, ...) and those terms that no stored term of their category comes near.
+
+    New terms are held against the store, not against each other."""
+    s = store.select(F.col("term").alias("old"), F.col("category").alias("of"))
+    near = (F.col("category") == F.col("of")) & (token_sort_ratio(F.col("term"), F.col("old")) >= least)
+    return store.unionByName(terms.join(s, near, "left_anti"), allowMissingColumns=True)
+
+
 def dictionary_hits(headers: DataFrame, terms: dict[str, tuple[str, ...]]) -> DataFrame:
     """Each distinct header with its best term: term, category, score; the first of equals.
 

@@ -270,11 +270,3 @@ UNION ALL SELECT doc_id, page_no, CAST(max("row") + 1 AS BIGINT), arg_max(y1, "r
     "tuning_grid_top": (tuning_grid_top, TUNING_SQL),
     "presentation_rows": (presentation_rows, PRESENTATION_SQL),
 }
-
-
-def queries() -> dict:
-    return {k: q for k, (q, _) in QUERIES.items()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {k: sql for k, (_, sql) in QUERIES.items() if sql}

@@ -1,6 +1,6 @@
 import pytest
 
-from tabulith.plans.queries import QUERIES
+from tabulith.plans.registry import QUERIES
 from tests.conftest import DATA
 from tests.oracle import compare
 
