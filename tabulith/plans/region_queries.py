@@ -74,10 +74,17 @@ def _header_cells(spark, d):
     return r.header_cells(b.relation(spark, d, b.WORD), g.grid_cells(_lines(spark, d)))
 
 
+def merged_headers(spark, d):
+    """Every second page's inner verticals begin below the header."""
+    short = (F.col("orientation") == "vertical") & (F.col("doc_id") % 2 == 0) & F.col("position").between(140, 260)
+    lines = _lines(spark, d).withColumn("start", F.when(short, F.col("start") + 20).otherwise(F.col("start")))
+    return r.merged_headers(g.grid_cells(lines), lines)
+
+
 GRID = f"{q.RULING}, {q.MERGED}, {q.CELL}"
 MERGED_SQL = f"""WITH {q.WITH}, {GRID}, p AS (SELECT h.doc_id, h.page_no, k.c AS divider, h.x0, h.y0, k.x1, h.y1, k.x0 AS x FROM cell h JOIN cell k ON k.doc_id = h.doc_id AND k.page_no = h.page_no AND k.c = h.c + 1 AND h.r = 0 AND k.r = 0)
 SELECT doc_id, page_no, divider, x0, y0, x1, y1, 'horizontal' AS merge_type FROM p WHERE NOT EXISTS (SELECT 1 FROM merged v WHERE v.orientation = 'vertical' AND v.doc_id = p.doc_id AND v.page_no = p.page_no
-  AND abs(v.position - p.x) <= 2 AND v."start" <= p.y0 + 1 AND v."end" >= p.y1 - 1)"""
+  AND abs(v.position - p.x) <= 2 AND v."start" + CASE WHEN v.doc_id % 2 = 0 AND v.position >= 140 AND v.position <= 260 THEN 20 ELSE 0 END <= p.y0 + 1 AND v."end" >= p.y1 - 1)"""
 HEADS = f"""mid AS (SELECT *, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy FROM word), head AS (SELECT h.doc_id, h.page_no, h.c, h.x0, h.x1, h.y0, h.y1, k.y1 AS far FROM cell h LEFT JOIN cell k ON k.doc_id = h.doc_id AND k.page_no = h.page_no AND k.c = h.c AND k.r = 1 WHERE h.r = 0),
 raw AS (SELECT h.doc_id, h.page_no, h.c, coalesce(nullif(trim(coalesce(string_agg(w.text, ' ' ORDER BY w.word_seq) FILTER (w.cy >= h.y0 AND w.cy <= h.y1), '')), ''), trim(string_agg(w.text, ' ' ORDER BY w.word_seq) FILTER (w.cy >= h.y0 - 3 AND w.cy <= h.far)), '') AS raw_header
   FROM head h LEFT JOIN mid w ON w.doc_id = h.doc_id AND w.page_no = h.page_no AND w.cx >= h.x0 AND w.cx <= h.x1 GROUP BY h.doc_id, h.page_no, h.c)"""
@@ -135,15 +142,15 @@ SELECT doc_id, CAST(1 AS BIGINT) AS page_no, CAST(0 AS BIGINT) AS block_seq, CAS
 SELECT doc_id, 0 AS i, 'note' AS kind, NULL AS section, 'concrete' AS key, concat('GRADE M', k % 60) AS value FROM o UNION ALL SELECT doc_id, 1, 'note', 'cover', 'column', concat(k % 9, '0mm') FROM o
 UNION ALL SELECT doc_id, 2, 'legend', NULL, 'beam', 'B' FROM o UNION ALL SELECT doc_id, 3, 'metadata', NULL, NULL, 'ALL DIMENSIONS IN MM' FROM o) AS u"""
 
-NB = f"""stop AS (SELECT t.*, least(height, coalesce(min(c.y0) FILTER (c.y0 > t.y1 AND c.x0 >= t.x0 - 50), height)) AS ex FROM title t LEFT JOIN (SELECT doc_id, page_no, x0, y0 FROM block WHERE block_type = 0 AND regexp_matches(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))), '{"|".join(vocab.TITLE_BLOCK_STOPS)}')) AS c USING (doc_id, page_no) GROUP BY ALL),
+NB = f"""stop AS (SELECT t.*, coalesce(least(any_value(height), min(c.y0) FILTER (c.y0 > t.y1 AND c.x0 >= t.x0 - 50)), any_value(height)) AS ex FROM title t LEFT JOIN (SELECT doc_id, page_no, x0, y0 FROM block WHERE block_type = 0 AND regexp_matches(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))), '{"|".join(vocab.TITLE_BLOCK_STOPS)}')) AS c USING (doc_id, page_no) GROUP BY ALL),
 flat AS (SELECT doc_id, page_no, p1y AS y, least(p1x, p2x) AS a, greatest(p1x, p2x) AS z FROM segment WHERE kind = 'l' AND abs(p2y - p1y) < 2 AND abs(p2x - p1x) > 30),
 upr AS (SELECT doc_id, page_no, p1x AS x, least(p1y, p2y) AS a, greatest(p1y, p2y) AS z FROM segment WHERE kind = 'l' AND abs(p2x - p1x) < 2 AND abs(p2y - p1y) > 30),
-tb AS (SELECT s.*, coalesce(max(f.y) FILTER (f.y <= y0 + 5), greatest(0, y0 - 10)) AS t, coalesce(max(f.y) FILTER (f.y > y1 AND f.y < ex), least(ex - 5, y1 + 350)) AS e FROM stop s LEFT JOIN flat f ON f.doc_id = s.doc_id AND f.page_no = s.page_no AND x0 BETWEEN f.a - 30 AND f.z + 30 GROUP BY ALL),
-nb AS (SELECT tb.*, coalesce(max(x) FILTER (x <= x0 + 15), greatest(0, x0 - 20)) AS l, coalesce(min(x) FILTER (x >= x1 - 15), least(width, x1 + 200)) AS r FROM tb LEFT JOIN upr u ON u.doc_id = tb.doc_id AND u.page_no = tb.page_no AND u.a <= t + 15 AND u.z >= e - 15 GROUP BY ALL)"""
+tb AS (SELECT s.*, coalesce(max(f.y) FILTER (f.y <= y0 + 5), any_value(greatest(0, y0 - 10))) AS tt, coalesce(max(f.y) FILTER (f.y > y1 AND f.y < ex), any_value(least(ex - 5, y1 + 350))) AS ee FROM stop s LEFT JOIN flat f ON f.doc_id = s.doc_id AND f.page_no = s.page_no AND x0 BETWEEN f.a - 30 AND f.z + 30 GROUP BY ALL),
+nb AS (SELECT tb.*, coalesce(max(x) FILTER (x <= x0 + 15), any_value(greatest(0, x0 - 20))) AS l, coalesce(min(x) FILTER (x >= x1 - 15), any_value(least(width, x1 + 200))) AS r FROM tb LEFT JOIN upr u ON u.doc_id = tb.doc_id AND u.page_no = tb.page_no AND u.a <= tt + 15 AND u.z >= ee - 15 GROUP BY ALL)"""
 
 
 def block_regions(spark, d):
-    return r.block_regions(b.relation(spark, d, b.BLOCK).withColumn("x1", F.col("x1") + (F.col("doc_id") % 3) * 4))
+    return r.block_regions(b.relation(spark, d, b.BLOCK).withColumns({"x1": F.col("x1") + (F.col("doc_id") % 3) * 4, "y1": F.col("y1") + 6}))
 
 
 def header_fuzzy(spark, d):
@@ -187,12 +194,12 @@ QUERIES = {
     "table_bounds": (_bounds, f"{W}, {BOUNDS} SELECT * FROM bounds"),
     "region_precedence": (region_precedence, f"{RW}, {BOUNDS}, {STEPS} SELECT doc_id, page_no, unnest(kept).s AS block_seq FROM fin"),
     "column_proximity": (column_proximity, PROXIMITY_SQL),
-    "merged_headers": (lambda x, d: r.merged_headers(g.grid_cells(_lines(x, d)), _lines(x, d)), MERGED_SQL),
+    "merged_headers": (merged_headers, MERGED_SQL),
     "header_cells": (_header_cells, f"WITH {q.WITH}, {GRID}, {HEADS} SELECT * FROM raw"),
     "header_texts": (lambda x, d: r.header_texts(_header_cells(x, d)).select(*g.PAGE, F.array_join("header_texts", "|").alias("headers")), f"""WITH {q.WITH}, {GRID}, {HEADS}, f AS (SELECT doc_id, page_no, raw_header, min(c) AS c FROM raw WHERE raw_header <> '' GROUP BY ALL)
 SELECT doc_id, page_no, string_agg(raw_header, '|' ORDER BY c) AS headers FROM f GROUP BY doc_id, page_no"""),
     "vector_candidates": (candidate_segments, CANDIDATE_SQL.replace("ruling AS (", f"{SQUEEZED}, ruling AS (", 1).replace("FROM segment WHERE kind = 'l'", "FROM squeezed WHERE kind = 'l'", 1)),
-    "notes_bounds": (lambda x, d: n.notes_bounds(_titles(x, d, True), b.relation(x, d, b.BLOCK), b.relation(x, d, b.SEGMENT)), f"WITH {q.WITH}, {q.anchors_sql(True)}, {_kind(True)}, {NB} SELECT {K}, l + 2 AS rx0, t + 2 AS ry0, r - 2 AS rx1, e - 2 AS ry1 FROM nb"),
+    "notes_bounds": (lambda x, d: n.notes_bounds(_titles(x, d, True), b.relation(x, d, b.BLOCK), b.relation(x, d, b.SEGMENT)), f"WITH {q.WITH}, {q.anchors_sql(True)}, {_kind(True)}, {NB} SELECT {K}, l + 2 AS rx0, tt + 2 AS ry0, r - 2 AS rx1, ee - 2 AS ry1 FROM nb"),
     "notes": (_notes, NOTES_SQL),
     "block_regions": (block_regions, None),
     "header_fuzzy": (header_fuzzy, None),
