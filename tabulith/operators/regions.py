@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulith.operators.geometry import PAGE, classify_segments, grid_cells, islands, merge_collinear, trim_bottom
+from tabulith.operators.geometry import PAGE, classify_segments, column_grid, grid_cells, islands, merge_collinear, text_cells, text_rows, trim_bottom
 
 REGION = [*PAGE, "block_seq"]
 #: Points by which a ruling may miss another and still touch it.
@@ -68,6 +68,32 @@ def region_grids(bounds: DataFrame, segments: DataFrame) -> DataFrame:
     return grid_cells(trim_bottom(rulings_in(bounds, segments), per=REGION), per=REGION)
 
 
+def text_grids(areas: DataFrame, words: DataFrame) -> DataFrame:
+    """Region, row_count, col_count of the grids that words make in areas: from six words, two rows, three column edges."""
+    mid = lambda a: (F.col(f"{a}0") + F.col(f"{a}1")) / 2
+    # the row fold and the column grid work by page: here each area is one
+    one = F.concat_ws("/", *REGION)
+    inside = areas.select(*REGION, "rx0", "ry0", "rx1", "ry1").join(words, PAGE).where(mid("x").between(F.col("rx0"), F.col("rx1")) & mid("y").between(F.col("ry0"), F.col("ry1")))
+    rows = text_rows(inside.select(one.alias("doc_id"), F.lit(1).cast("long").alias("page_no"), "word_seq", "x0", "y0", "x1", "y1", "text"))
+    edges = column_grid(text_cells(rows)).groupBy("doc_id").agg((F.count(F.lit(1)) - 1).alias("col_count"))
+    size = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), (F.max("row") + 1).cast("long").alias("row_count")).where("n >= 6 and row_count >= 2")
+    found = size.join(edges, "doc_id").where("col_count >= 2").select(F.col("doc_id").alias("area"), "row_count", "col_count")
+    return areas.select(*REGION, one.alias("area")).join(found, "area").drop("area")
+
+
+def region_shapes(titles: DataFrame, segments: DataFrame, words: DataFrame) -> DataFrame:
+    """Region, detection_strategy, row_count, col_count of each title's table; titles without one are dropped.
+
+    A grid of rulings over at least two rows, in bounds at least 30 wide, goes before one of words: in the
+    same bounds, or below the title where rulings bound nothing."""
+    bounds = table_bounds(titles, segments).where("rx1 - rx0 >= 30")
+    ruled = region_grids(bounds, segments).groupBy(*REGION).agg((F.max("r") + 1).alias("row_count"), (F.max("c") + 1).alias("col_count")).where("row_count >= 2")
+    rest = titles.join(ruled, REGION, "left_anti")
+    below = text_areas(rest).select(*REGION, "rx0", "ry0", "rx1", "ry1").join(bounds, REGION, "left_anti")
+    written = text_grids(below.unionByName(bounds.join(ruled, REGION, "left_anti")), words)
+    return ruled.withColumn("detection_strategy", F.lit("vector")).unionByName(written.withColumn("detection_strategy", F.lit("text_clustering")))
+
+
 def near_columns(titles: DataFrame, columns: DataFrame, most: float = 1.2) -> DataFrame:
     """columns(page, x0, x1) of each title whose middle is within ``most`` title widths of the title's."""
     c = columns.select(*PAGE, F.col("x0").alias("c0"), F.col("x1").alias("c1"))

@@ -57,6 +57,23 @@ def _bounds(spark, d):
     return r.table_bounds(_titles(spark, d, False), b.relation(spark, d, b.SEGMENT))
 
 
+def region_grid(spark, d):
+    """Grids of rulings within the bounds of each title, as numbers of rows and columns."""
+    cells = r.region_grids(_bounds(spark, d), b.relation(spark, d, b.SEGMENT))
+    return cells.groupBy(*r.REGION).agg((F.max("r") + 1).alias("row_count"), (F.max("c") + 1).alias("col_count"))
+
+
+INNER = f"""{_inside('bounds', 'inner_line')},
+inner_next AS (SELECT *, lead(position) OVER (PARTITION BY {K} ORDER BY position) AS n FROM inner_line WHERE orientation = 'horizontal'),
+inner_end AS (SELECT {K}, min(position) AS e FROM inner_next WHERE n - position > 40 GROUP BY {K}),
+shape AS (SELECT {K}, count(DISTINCT round_even(position, 1)) FILTER (orientation = 'horizontal' AND (e IS NULL OR position <= e + 1)) - 1 AS row_count, count(DISTINCT round_even(position, 1)) FILTER (orientation = 'vertical') - 1 AS col_count
+  FROM inner_line LEFT JOIN inner_end USING ({K}) GROUP BY {K})"""
+
+
+def region_shapes(spark, d):
+    return r.region_shapes(_titles(spark, d, False), b.relation(spark, d, b.SEGMENT), b.relation(spark, d, b.WORD))
+
+
 def column_proximity(spark, d):
     cells = g.text_cells(g.text_rows(b.relation(spark, d, b.WORD))).where("row = 0")
     return r.near_columns(_titles(spark, d, False), cells)
@@ -192,6 +209,8 @@ QUERIES = {
     "corridor": (lambda x, d: r.corridors(_titles(x, d, False)).select(*AREA), f"{W}, {CORRIDOR} SELECT * FROM area"),
     "text_area": (lambda x, d: r.text_areas(_titles(x, d, False)).select(*AREA), f"{W}, {CORRIDOR}, {_inside('area', 'line')}, {STEPS.split(',' + chr(10) + 'reach')[0]} SELECT * FROM area2"),
     "table_bounds": (_bounds, f"{W}, {BOUNDS} SELECT * FROM bounds"),
+    "region_grid": (region_grid, f"{W}, {BOUNDS}, {INNER} SELECT * FROM shape WHERE row_count >= 1 AND col_count >= 1"),
+    "region_shapes": (region_shapes, None),
     "region_precedence": (region_precedence, f"{RW}, {BOUNDS}, {STEPS} SELECT doc_id, page_no, unnest(kept).s AS block_seq FROM fin"),
     "column_proximity": (column_proximity, PROXIMITY_SQL),
     "merged_headers": (merged_headers, MERGED_SQL),

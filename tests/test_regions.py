@@ -102,6 +102,18 @@ def test_queries_without_sql(spark):
             assert query(spark, str(DATA / "sf0.001")).limit(5).count() > 0, name
 
 
+def test_region_shapes(spark):
+    """One title over a ruled grid of 2 x 2, one over words in 3 rows and 2 columns, one over nothing."""
+    box = "doc_id long, page_no long, block_seq long, x0 double, y0 double, x1 double, y1 double, width double, height double"
+    titles = spark.createDataFrame([(i, 1, 0, 100.0, 50.0, 200.0, 60.0, 800.0, 1200.0) for i in (1, 2, 3)], box)
+    flat = [(1, 1, "l", 100.0, y, 200.0, y) for y in (70.0, 90.0, 110.0)]
+    upright = [(1, 1, "l", x, 70.0, x, 110.0) for x in (100.0, 150.0, 200.0)]
+    segments = spark.createDataFrame(flat + upright, "doc_id long, page_no long, kind string, p1x double, p1y double, p2x double, p2y double")
+    words = spark.createDataFrame([(2, 1, 2 * i + j, 100.0 + 60 * j, 80.0 + 20 * i, 130.0 + 60 * j, 88.0 + 20 * i, "w") for i in range(3) for j in range(2)], "doc_id long, page_no long, word_seq long, x0 double, y0 double, x1 double, y1 double, text string")
+    got = regions.region_shapes(titles, segments, words).select("doc_id", "detection_strategy", "row_count", "col_count").collect()
+    assert sorted(map(tuple, got)) == [(1, "vector", 2, 2), (2, "text_clustering", 3, 2)]
+
+
 def test_zone(spark):
     areas = spark.createDataFrame([(1, 1, 0, 9.0, 9.0, 12.0, 12.0), (1, 1, 1, 0.0, 9.0, 12.0, 12.0), (2, 1, 0, 9.0, 9.0, 12.0, 12.0)], "doc_id long, page_no long, region_index long, x0 double, y0 double, x1 double, y1 double")
     zones = spark.createDataFrame([(1, 1, 10.0, 10.0, 20.0, 20.0)], "doc_id long, page_no long, x0 double, y0 double, x1 double, y1 double")
