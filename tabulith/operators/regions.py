@@ -199,19 +199,19 @@ def joined_boxes(boxes: list[tuple[float, ...]], dx: float, dy: float) -> list[t
 
 
 def block_regions(blocks: DataFrame, dx: float = 15.0, dy: float = 8.0) -> DataFrame:
-    """Text blocks of a page joined to regions of at least 30 by 15, in block order; one page a group."""
-    kind = {f.name: f.dataType.simpleString() for f in blocks.schema}
-
-    def run(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values("block_seq")
-        found = joined_boxes(list(page[["x0", "y0", "x1", "y1"]].itertuples(index=False, name=None)), dx, dy)
-        out = pd.DataFrame([b for b in found if b[2] - b[0] >= 30 and b[3] - b[1] >= 15], columns=["x0", "y0", "x1", "y1"], dtype="float64")
-        for i, k in enumerate(PAGE):
-            out.insert(i, k, page[k].iloc[0])
-        return out
-
-    text = blocks.where("block_type = 0").select(*PAGE, "block_seq", "x0", "y0", "x1", "y1")
-    return text.groupBy(*PAGE).applyInPandas(run, f"doc_id {kind['doc_id']}, page_no {kind['page_no']}, x0 double, y0 double, x1 double, y1 double")
+    """Text blocks of a page joined to regions of at least 30 by 15, in block order."""
+    box = F.struct("block_seq", "x0", "y0", "x1", "y1")
+    pages = blocks.where("block_type = 0").groupBy(*PAGE).agg(F.array_sort(F.collect_list(box)).alias("boxes"))
+
+    @F.pandas_udf("array<struct<x0: double, y0: double, x1: double, y1: double>>")
+    def unite(lists: pd.Series) -> pd.Series:
+        def one(boxes) -> list[dict]:
+            found = joined_boxes([(b["x0"], b["y0"], b["x1"], b["y1"]) for b in boxes], dx, dy)
+            return [dict(zip(("x0", "y0", "x1", "y1"), b, strict=True)) for b in found if b[2] - b[0] >= 30 and b[3] - b[1] >= 15]
+
+        return lists.map(one)
+
+    return pages.select(*PAGE, F.explode(unite("boxes")).alias("b")).select(*PAGE, "b.*")
 
 
 def summary(regions: DataFrame) -> DataFrame:
