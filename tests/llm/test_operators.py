@@ -329,6 +329,28 @@ def test_similar_documents(spark, docs):
     assert left.columns == docs.columns and left.count() == len({r.component for r in similar.near_duplicates(docs).collect()})
 
 
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    """Copies of copies in large buckets: classes are those of all pairs at the similarity that share a band."""
+    monkeypatch.setattr(similar, "MOST_IN_BUCKET", 4)
+    monkeypatch.setattr(similar, "FEW", 1)
+    draw = random.Random(5)
+    texts = [" ".join(f"w{draw.randrange(500)}" for _ in range(n)) for n in (60, 90, 120)]
+    for _ in range(120):
+        words = draw.choice(texts).split()
+        for _ in range(draw.randrange(1, 4)):
+            at = draw.randrange(len(words))
+            words[at : at + draw.randrange(2)] = [f"w{draw.randrange(500)}"]
+        texts.append(" ".join(words[: len(words) - draw.randrange(4)]))
+    texts = list(dict.fromkeys(texts))
+    seen = [similar.sketch(x.encode(), similar.SHINGLE) for x in texts]
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j) if any(a == b for a, b in zip(seen[i][1], seen[j][1], strict=True))]
+    links = [(i, j) for i, j in pairs if similar.jaccard(seen[i][2], seen[j][2]) >= similar.SIMILARITY]
+    want = joined(range(len(texts)), links)
+    got = {r.doc_id: r.component for r in similar.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert len(links) < len(pairs)
+    assert {(i, j) for i in got for j in got if got[i] == got[j]} == {(i, j) for i in want for j in want if want[i] == want[j]}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert lm_score.score(docs, lm_score.learn(docs), {"doc_id": docs["doc_id"]}).count() == 0
