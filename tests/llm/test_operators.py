@@ -351,6 +351,30 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
     assert {(i, j) for i in got for j in got if got[i] == got[j]} == {(i, j) for i in want for j in want if want[i] == want[j]}
 
 
+def five_word_sets(texts):
+    """Each text's distinct stretches of five words, apart from the operator."""
+    split = [x.lower().split() for x in texts]
+    return [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in split]
+
+
+def test_repeated_passages_are_near_duplicates(spark):
+    """A passage once or many times: nearly the same distinct shingles, or the same ones."""
+    draw = random.Random(9)
+    rows = []
+    for i in range(40):
+        words = [f"w{draw.randrange(5000)}" for _ in range(330)]
+        rows += [(4 * i, " ".join(words)), (4 * i + 1, " ".join(words[:30] * 40 + words[30:]))]
+        loop = words[:40]
+        rows += [(4 * i + 2, " ".join(loop * 2 + loop[:4])), (4 * i + 3, " ".join(loop * 30))]
+    sets = five_word_sets([x for _, x in rows])
+    assert all(len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) > 0.95 for i in range(0, 160, 2))
+    assert all(sets[i] == sets[i + 1] for i in range(2, 160, 4))
+    got = {r.doc_id: r.component for r in similar.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == got[i + 1] for i in range(0, 160, 2)) and len(set(got.values())) == 80
+    keys = [similar.sketch(x.encode(), similar.SHINGLE) for _, x in rows]
+    assert all(keys[i] == keys[i + 1] for i in range(2, 160, 4))
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert lm_score.score(docs, lm_score.learn(docs), {"doc_id": docs["doc_id"]}).count() == 0
