@@ -357,6 +357,47 @@ def five_word_sets(texts):
     return [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in split]
 
 
+def test_similarity_of_long_texts(spark):
+    """Texts of far more shingles than a sketch has, just above and just below the similarity."""
+    draw = random.Random(8)
+    texts, truth = [], []
+    for i in range(40):
+        words = [f"w{draw.randrange(100_000)}" for _ in range(1200)]
+        changed = list(words)
+        n = 126 + 12 * (i % 2)  # 1196 shingles of which 4 more than n change: a similarity of 0.804 or 0.788
+        changed[400 : 400 + n] = [f"x{draw.randrange(100_000)}" for _ in range(n)]
+        texts += [" ".join(words), " ".join(changed)]
+        a, b = five_word_sets(texts[-2:])
+        truth.append(len(a & b) / len(a | b) >= 0.8)
+    assert 0 < sum(truth) < len(truth)
+    bands = [similar.sketch(x.encode(), similar.SHINGLE)[1] for x in texts]
+    met = [any(x == y for x, y in zip(bands[2 * i], bands[2 * i + 1], strict=True)) for i in range(40)]
+    got = {r.doc_id: r.component for r in similar.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[2 * i] == got[2 * i + 1] for i in range(40)] == [x and y for x, y in zip(truth, met, strict=True)]
+
+
+def test_large_buckets_of_long_texts(spark, monkeypatch):
+    """As above, with sets that a sketch only samples: links follow from whole sets."""
+    monkeypatch.setattr(similar, "MOST_IN_BUCKET", 4)
+    draw = random.Random(6)
+    base = [f"w{draw.randrange(50_000)}" for _ in range(700)]
+    texts = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(1 + i % 3):
+            at, n = draw.randrange(600), draw.randrange(20, 60)
+            words[at : at + n] = [f"v{draw.randrange(50_000)}" for _ in range(n)]
+        texts.append(" ".join(words))
+    sets = five_word_sets(texts)
+    bands = [similar.sketch(x.encode(), similar.SHINGLE)[1] for x in texts]
+    pairs = [(i, j) for j in range(60) for i in range(j) if any(x == y for x, y in zip(bands[i], bands[j], strict=True))]
+    links = [(i, j) for i, j in pairs if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+    want = joined(range(60), links)
+    got = {r.doc_id: r.component for r in similar.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert 0 < len(links) < len(pairs) and len(set(want.values())) > 1
+    assert {(i, j) for i in got for j in got if got[i] == got[j]} == {(i, j) for i in want for j in want if want[i] == want[j]}
+
+
 def test_repeated_passages_are_near_duplicates(spark):
     """A passage once or many times: nearly the same distinct shingles, or the same ones."""
     draw = random.Random(9)
