@@ -75,11 +75,49 @@ def metrics(scored: DataFrame, keys: list[str]) -> DataFrame:
     """Confusion counts of keep against expected, and accuracy, precision, recall, f1; 0 where undefined."""
     n = lambda a, b: F.count_if((F.col("keep") == a) & (F.col("expected") == b))
     m = scored.groupBy(*keys).agg(n(True, True).alias("tp"), n(True, False).alias("fp"), n(False, False).alias("tn"), n(False, True).alias("fn"))
+    return _with_ratios(m)
+
+
+def _with_ratios(m: DataFrame) -> DataFrame:
+    """Confusion counts with accuracy, precision, recall, f1; 0 where undefined."""
     ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
     m = m.withColumn("accuracy", ratio(F.col("tp") + F.col("tn"), F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn"))).withColumn("precision", ratio(F.col("tp"), F.col("tp") + F.col("fp"))).withColumn("recall", ratio(F.col("tp"), F.col("tp") + F.col("fn")))
     return m.withColumn("f1", ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
 
 
+#: Values of each weight and threshold that a grid search tries, in product order.
+DEFAULT_GRID = {
+    "structure_found": (20, 40, 60), "allow_list": (30, 45, 60), "deny_list": (-90, -70, -50), "inside_title_block": (-50, -30, -15),
+    "nearby_title": (5, 15, 25), "shape_sanity": (5, 10, 15), "confidence_threshold": (30, 50, 70), "fuzzy_threshold": (75, 85, 95),
+}
+
+
+def grid_search(regions: DataFrame, grid: dict[str, tuple[float, ...]] | None = None, metric: str = "accuracy") -> DataFrame:
+    """Every setting of a grid over all eight parameters with its confusion counts and metrics: combo_id, the parameters,
+    tp, fp, tn, fn, accuracy, precision, recall, f1; best metric first, product order on ties.
+
+    Takes regions like region_scores, with expected. Regions are first counted by what settings can tell apart, for
+    each fuzzy threshold: settings then meet at most 2 ** 6 x 3 rows each. Without regions all metrics are 0."""
+    grid = DEFAULT_GRID | (grid or {})
+    names = list(grid)
+    spark = regions.sparkSession
+    combos = spark.range(1).select(F.lit(0).cast("long").alias("combo_id"))
+    for name, values in grid.items():
+        each = F.posexplode(F.array(*(F.lit(float(v)) for v in values))).alias("i", name)
+        combos = combos.select("*", each).withColumn("combo_id", F.col("combo_id") * len(values) + F.col("i")).drop("i")
+    hit = lambda c: F.coalesce(F.col(c) >= F.col("least"), F.lit(False))
+    shape = F.when((F.col("row_count") == 0) | (F.col("col_count") == 0), 0).when(F.col("col_count") >= 5, -1).otherwise(1)
+    least = F.explode(F.array(*(F.lit(float(v)) for v in dict.fromkeys(grid["fuzzy_threshold"])))).alias("least")
+    flags = regions.select("*", least).select("least", "structured", hit("allow_score").alias("allow"), hit("deny_score").alias("deny"), "in_zone", "title_hit", shape.alias("shape"), "expected")
+    kinds = flags.groupBy(*flags.columns).agg(F.count(F.lit(1)).alias("n"))
+    on = lambda f, w: F.when(F.col(f), F.col(w)).otherwise(0.0)
+    total = on("structured", "structure_found") + on("allow", "allow_list") + on("deny", "deny_list") + on("in_zone", "inside_title_block") + on("title_hit", "nearby_title") + F.col("shape") * F.col("shape_sanity")
+    met = combos.join(F.broadcast(kinds), F.col("fuzzy_threshold") == F.col("least"), "left").withColumn("keep", total >= F.col("confidence_threshold"))
+    n = lambda a, b: F.coalesce(F.sum(F.when((F.col("keep") == a) & (F.col("expected") == b), F.col("n"))), F.lit(0))
+    counted = met.groupBy("combo_id", *names).agg(n(True, True).alias("tp"), n(True, False).alias("fp"), n(False, False).alias("tn"), n(False, True).alias("fn"))
+    return _with_ratios(counted).orderBy(F.desc(metric), "combo_id")
+
+
 def title_zones(rects: DataFrame, fraction: float = 0.28) -> DataFrame:
     """The largest rectangle of each page that lies mostly in the right margin, the first of equals."""
     edge = F.col("width") * (1 - fraction)

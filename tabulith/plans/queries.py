@@ -180,6 +180,27 @@ t AS (SELECT combo.*, count(*) FILTER ((CASE WHEN structured THEN structure_foun
 SELECT CAST(combo_id AS BIGINT) AS combo_id, CAST(structure_found AS BIGINT) AS structure_found, CAST(allow_list AS BIGINT) AS allow_list, CAST(nearby_title AS BIGINT) AS nearby_title, CAST(threshold AS BIGINT) AS threshold, accuracy
 FROM t ORDER BY accuracy DESC, combo_id LIMIT 10"""
 
+
+
+def tuning_grid_search(spark, d):
+    """Best ten of the whole grid of eight parameters by accuracy, product order on ties."""
+    return s.grid_search(_scored_inputs(spark, d)).limit(10)
+
+
+# Of the bridge's headers only 'Ref No' is near a term without being it: 92.3 with 'Ref No.'.
+_PLAIN = ", ".join(repr(t) for ts in vocab.ALLOW.values() for t in ts)
+SEARCH_SQL = f"""WITH {WITH}, {SCORED},
+{", ".join(f"p{i}({k}, o{i}) AS (VALUES {', '.join(f'({v}e0, {j})' for j, v in enumerate(vs))})" for i, (k, vs) in enumerate(s.DEFAULT_GRID.items()))},
+combo AS (SELECT *, {" + ".join(f"o{i} * {3 ** (7 - i)}" for i in range(8))} AS combo_id FROM p0, p1, p2, p3, p4, p5, p6, p7),
+kind AS (SELECT structured, allow, header1 IN ({_PLAIN}) OR header2 IN ({_PLAIN}) AS same, deny, in_zone, title_hit, CASE WHEN row_count = 0 OR col_count = 0 THEN 0 WHEN col_count >= 5 THEN -1 ELSE 1 END AS shape, expected, count(*) AS n FROM scored GROUP BY ALL),
+kept AS (SELECT combo.*, n, expected, CASE WHEN structured THEN structure_found ELSE 0 END + CASE WHEN CASE WHEN fuzzy_threshold > 92.4 THEN same ELSE allow END THEN allow_list ELSE 0 END + CASE WHEN deny THEN deny_list ELSE 0 END
+  + CASE WHEN in_zone THEN inside_title_block ELSE 0 END + CASE WHEN title_hit THEN nearby_title ELSE 0 END + shape * shape_sanity >= confidence_threshold AS keep FROM kind CROSS JOIN combo),
+t AS (SELECT combo_id, {", ".join(s.DEFAULT_GRID)}, coalesce(sum(n) FILTER (keep AND expected), 0) AS tp, coalesce(sum(n) FILTER (keep AND NOT expected), 0) AS fp,
+  coalesce(sum(n) FILTER (NOT keep AND NOT expected), 0) AS tn, coalesce(sum(n) FILTER (NOT keep AND expected), 0) AS fn FROM kept GROUP BY ALL)
+SELECT CAST(combo_id AS BIGINT) AS combo_id, {", ".join(f"CAST({k} AS DOUBLE) AS {k}" for k in s.DEFAULT_GRID)}, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(tn AS BIGINT) AS tn, CAST(fn AS BIGINT) AS fn,
+  (tp + tn) / (tp + fp + tn + fn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0.0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0) AS f1
+FROM t ORDER BY accuracy DESC, combo_id LIMIT 10"""
+
 RECT = f"""SELECT doc_id, page_no, block_seq AS drawing_seq, x0 * (1 + doc_id % 3) AS x0, y0, x1 * (1 + doc_id % 3) AS x1, y1 + block_seq * 10 AS y1, 800e0 AS width FROM ({b.BLOCK}) AS k"""
 
 
@@ -268,5 +289,6 @@ UNION ALL SELECT doc_id, page_no, CAST(max("row") + 1 AS BIGINT), arg_max(y1, "r
     "region_score": (region_score, f"WITH {WITH}, {SCORED} SELECT doc_id, region_index, confidence, confidence >= 50 AS keep FROM scored"),
     "score_metrics": (score_metrics, METRICS_SQL),
     "tuning_grid_top": (tuning_grid_top, TUNING_SQL),
+    "tuning_grid_search": (tuning_grid_search, SEARCH_SQL),
     "presentation_rows": (presentation_rows, PRESENTATION_SQL),
 }

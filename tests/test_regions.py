@@ -119,3 +119,19 @@ def test_zone(spark):
     zones = spark.createDataFrame([(1, 1, 10.0, 10.0, 20.0, 20.0)], "doc_id long, page_no long, x0 double, y0 double, x1 double, y1 double")
     assert [r["in_zone"] for r in regions.in_zone(areas, zones).orderBy("doc_id", "region_index").collect()] == [True, False, False]
     assert regions.large_boxes(areas.withColumn("x1", F.lit(50.0))).count() == 0
+
+
+def test_grid_search_tries_every_setting(spark):
+    rows = [(100.0, 10.0, True, False, True, 2, 2, True), (92.0, 10.0, False, False, False, 2, 2, False), (80.0, 80.0, True, True, False, 0, 3, False), (None, None, True, False, False, 3, 6, True)]
+    df = spark.createDataFrame(rows, "allow_score double, deny_score double, structured boolean, in_zone boolean, title_hit boolean, row_count long, col_count long, expected boolean")
+    got = scoring.grid_search(df).collect()
+    want = []
+    for i, c in enumerate(itertools.product((20, 40, 60), (30, 45, 60), (-90, -70, -50), (-50, -30, -15), (5, 15, 25), (5, 10, 15), (30, 50, 70), (75, 85, 95))):
+        right = 0
+        for allow, deny, structured, zone, title, n_rows, n_columns, expected in rows:
+            shape = 0 if 0 in (n_rows, n_columns) else -c[5] if n_columns >= 5 else c[5]
+            total = c[0] * structured + c[1] * ((allow or 0) >= c[7]) + c[2] * ((deny or 0) >= c[7]) + c[3] * zone + c[4] * title + shape
+            right += (total >= c[6]) == expected
+        want.append((-right / 4, i, c))
+    assert [(-r.accuracy, r.combo_id, tuple(r)[1:9]) for r in got] == sorted(want) and len(got) == 6561
+    assert {r.accuracy for r in scoring.grid_search(df.where("false"), {"structure_found": (1,)}).collect()} == {0.0}
