@@ -53,14 +53,39 @@ def node(url: Column) -> Column:
     return F.regexp_replace(url, r"(?s)#.*$", "")
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash, its segments ``.`` and ``..`` carried out."""
+    parts = F.slice(F.split(path, "/", -1), F.lit(2), F.length(path) + 1)
+    dots = parts[F.size(parts) - 1].isin(".", "..")
+    step = lambda done, x: F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(x == ".", done).otherwise(F.concat(done, F.array(x)))
+    left = F.aggregate(parts, F.array().cast("array<string>"), step)
+    return F.concat(F.lit("/"), F.array_join(left, "/"), F.when(dots & (F.size(left) > 0), "/").otherwise(""))
+
+
+def resolved(target: Column, page: Column) -> Column:
+    """A link's target as an absolute url; null if it has none (mail, script, or a page without a host)."""
+    scheme, site = F.regexp_extract(page, r"(?s)^([A-Za-z][A-Za-z0-9+.-]*:)//", 1), F.regexp_extract(page, r"(?s)^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    own = F.regexp_extract(page, r"(?s)^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    path, rest = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.when(own == "", "/").otherwise(F.regexp_extract(own, r"(?s)^(.*/)", 1))
+    return (
+        F.when(F.rlike(target, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*://")), target)
+        .when(F.rlike(target, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")) | (site == "") | (target == ""), F.lit(None).cast("string"))
+        .when(F.startswith(target, F.lit("//")), F.concat(scheme, target))
+        .when(F.startswith(target, F.lit("/")), F.concat(site, _without_dots(path), rest))
+        .when(path == "", F.when(F.startswith(target, F.lit("#")), page).otherwise(F.concat(site, own, rest)))
+        .otherwise(F.concat(site, _without_dots(F.concat(folder, path)), rest))
+    )
+
+
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """edges(a, b) from canonical links and meta refreshes with an absolute url."""
+    """edges(a, b) from all canonical links and meta refreshes of a page; relative targets count from its url."""
     html = pages[html_col]
-    first = lambda tag, inner: F.regexp_extract(F.regexp_extract(html, tag, 0), inner, 1)
-    tags = F.array(first(LINK_TAG, HREF), first(META_TAG, REFRESH))
+    every = lambda tag, inner: F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, inner, 1))
     some = pages.where(F.contains(F.lower(html), F.lit("canonical")) | F.contains(F.lower(html), F.lit("refresh")))
-    ties = some.select(node(pages[url_col]).alias("a"), F.explode(F.filter(tags, lambda x: F.contains(x, F.lit("://")))).alias("b"))
-    return ties.select("a", node(F.replace("b", F.lit("&amp;"), F.lit("&"))).alias("b"))
+    ties = some.select(node(pages[url_col]).alias("a"), F.explode(F.array_distinct(F.concat(every(LINK_TAG, HREF), every(META_TAG, REFRESH)))).alias("b"))
+    ties = ties.select("a", resolved(F.replace("b", F.lit("&amp;"), F.lit("&")), F.col("a")).alias("b"))
+    return ties.where("b is not null").select("a", node(F.col("b")).alias("b"))
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

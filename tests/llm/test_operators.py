@@ -243,6 +243,24 @@ def test_url_filter(spark):
     assert got[8, ""] == got[9, ""] == ("", None, "allow") and got[9, "x.example.com"][2] == "block"
 
 
+def test_url_filter_relative_and_repeated_tags(spark):
+    from urllib.parse import urljoin
+
+    link, meta = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    pages = [
+        (1, "http://x.example.com/en/1", link.format("/de/1")), (2, "http://a.com/1", link.format("//bad.net/")), (3, "http://b.com/de/2", meta.format("//bad.net/x")),
+        (4, "http://c.com/", link.format("http://fine.com/") + link.format("http://bad.net/y")), (5, "http://d.com/", meta.format("http://fine2.com/") + meta.format("http://bad.net/z")),
+        (6, "http://y.example.com/en/a/b", link.format("../../de/b")), (7, "http://e.com/", link.format("mailto:x@bad.net")), (8, "no url", link.format("/de/1")), (9, "http://z.com/en/9", link.format("/de/9")),
+    ]
+    got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "block", 7: "allow", 8: "allow", 9: "allow"}
+    bases = ["http://h.com", "http://h.com/", "https://h.com/a/b/c?x=/y", "http://h.com/a/b/"]
+    targets = ["x", "./x", "../x", "../../../x", "x/./y/../z", ".", "..", "?q=1", "/x?u=http://y.com/", "//k.com/x", "http://k.com/x", "/a/../b", "/", "x?y"]
+    cases = spark.createDataFrame([(b, t) for b in bases for t in targets], "b string, t string")
+    found = {(r.b, r.t): r.url for r in cases.select("b", "t", url_filter.resolved(F.col("t"), F.col("b")).alias("url")).collect()}
+    assert found == {(b, t): urljoin(b, t) for b in bases for t in targets}
+
+
 def joined(ids, links):
     up = {i: i for i in ids}
 
