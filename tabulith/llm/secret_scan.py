@@ -2,8 +2,8 @@
 
 Three patterns give the base spans. A fourth finds tokens of mixed letters and digits without a
 keyword. Every candidate value is hashed and counted over the corpus by distinct repositories and
-owners: what many owners share is a widely copied example; what few owners have looks live, and such
-a token is reported as a span of kind ``live``.
+owners: what many owners share, or few owners have in many repositories each, is a widely copied
+example; the rest looks live, and such a token is reported as a span of kind ``live``.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ PATTERNS = {
 LEAST_VALUE = 6
 #: A value with so many distinct owners or more is an example.
 EXAMPLE_OWNERS = 3
+#: So is one with so many distinct repositories or more for each of its owners.
+EXAMPLE_REPOSITORIES = 20
 
 
 def _found(text: Column, pattern: str) -> Column:
@@ -54,27 +56,29 @@ def frequencies(spans: DataFrame) -> DataFrame:
     return pairs("owner", "owners").join(pairs("repository", "repositories").drop("occurrences"), "value_hash")
 
 
-def scan(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, **columns) -> DataFrame:
-    """One row per row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example.
+def scan(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES, **columns) -> DataFrame:
+    """One row per row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, candidates.
 
-    Spans are kind:start:end by code points, end exclusive. n_live and n_example count the candidates
+    candidates has each span, the live ones of examples too, with its value's owners and repositories. Spans are kind:start:end by code points, end exclusive. n_live and n_example count the candidates
     of either standing. Null text is empty; an owner or repository that is null counts as none, so a
-    value found only there looks live. Rows alike are counted as rows but share owner and repository.
+    value found only with null repositories and owners looks live. Rows alike are counted as rows but share owner and repository.
     """
     rows, spans = candidates(docs, **columns)
     spans = stash(spans.select("row", "owner", "repository", "ord", "kind", "start", "end", F.xxhash64("value", F.length("value")).alias("value_hash")), "spans")
-    known = frequencies(spans).select("value_hash", (F.col("owners") >= example_owners).alias("example"))
+    copied = (F.col("owners") >= example_owners) | (F.col("repositories") >= example_repositories * F.greatest("owners", F.lit(1)))
+    known = frequencies(spans).select("value_hash", "owners", "repositories", copied.alias("example"))
     judged = spans.select("row", "ord", "kind", "start", "end", "value_hash").join(known, "value_hash")
-    judged = judged.where((F.col("kind") != "live") | ~F.col("example"))
+    shown = (F.col("kind") != "live") | ~F.col("example")
     span = F.struct("start", "ord", F.concat_ws(":", "kind", "start", "end").alias("s"))
     of = lambda k: F.count_if(F.col("kind") == k).alias(f"n_{k}")
-    per_row = judged.groupBy("row").agg(of("assign"), of("access"), of("hex"), F.count_if(~F.col("example")).alias("n_live"), F.count_if("example").alias("n_example"), F.array_sort(F.collect_list(span)).alias("all"))
+    found = F.struct("start", "ord", F.concat_ws(":", "kind", "start", "end").alias("span"), "owners", "repositories", "example")
+    per_row = judged.groupBy("row").agg(of("assign"), of("access"), of("hex"), F.count_if(shown & ~F.col("example")).alias("n_live"), F.count_if(shown & F.col("example")).alias("n_example"), F.array_sort(F.collect_list(F.when(shown, span))).alias("all"), F.array_sort(F.collect_list(found)).alias("found"))
     listed = lambda a: F.array_join(F.transform(a, lambda x: x["s"]), ",")
     base = F.filter("all", lambda x: x["ord"] < list(PATTERNS).index("live"))
-    per_row = per_row.select(F.col("row").alias("found_row"), "n_assign", "n_access", "n_hex", listed(base).alias("base"), listed(F.col("all")).alias("spans"), "n_live", "n_example")
+    per_row = per_row.select(F.col("row").alias("found_row"), "n_assign", "n_access", "n_hex", listed(base).alias("base"), listed(F.col("all")).alias("spans"), "n_live", "n_example", F.transform("found", lambda x: x.dropFields("start", "ord")).alias("candidates"))
     out = rows.join(per_row, F.col("row") == F.col("found_row"), "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return out.select("doc_id", zero("n_assign"), zero("n_access"), zero("n_hex"), F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), zero("n_live"), zero("n_example"))
+    return out.select("doc_id", zero("n_assign"), zero("n_access"), zero("n_hex"), F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), zero("n_live"), zero("n_example"), F.coalesce("candidates", F.array()).alias("candidates"))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
