@@ -35,7 +35,7 @@ def anchor_type_counts(spark, d):
 
 
 def rebar_parse(spark, d):
-    w = b.relation(spark, d, b.WORD).where("word_seq % 10 in (1, 2)")
+    w = b.relation(spark, d, b.WORD)
     groups = w.select("doc_id", "word_seq", F.posexplode(rebar_groups(F.col("text"))).alias("i", "x"))
     return groups.select("doc_id", "word_seq", F.col("i").cast("long").alias("i"), F.col("x.count").cast("long").alias("n_bars"), F.col("x.bar_type").alias("bar_type"), F.col("x.diameter_mm").alias("diameter_mm"), F.col("x.spacing_mm").cast("long").alias("spacing_mm"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabulith.functions import words as w
 from tabulith.operators import notes, regions, scoring
-from tabulith.plans import region_queries
+from tabulith.plans import queries, region_queries
 from tabulith.sources import sinks, stores
 from tests.conftest import DATA
 
@@ -135,3 +135,10 @@ def test_grid_search_tries_every_setting(spark):
         want.append((-right / 4, i, c))
     assert [(-r.accuracy, r.combo_id, tuple(r)[1:9]) for r in got] == sorted(want) and len(got) == 6561
     assert {r.accuracy for r in scoring.grid_search(df.where("false"), {"structure_found": (1,)}).collect()} == {0.0}
+
+
+def test_rebar_parse_reads_every_word(spark, monkeypatch):
+    words = [(1, 10, "B1"), (1, 11, "25-T16"), (1, 13, "2-16Ø+1-12Ø"), (2, 27, "T10@150c/c"), (2, 28, "-")]
+    monkeypatch.setattr(queries.b, "relation", lambda *_: spark.createDataFrame(words, "doc_id long, word_seq long, text string"))
+    got = sorted((r.doc_id, r.word_seq, r.i, r.n_bars, r.bar_type, r.diameter_mm, r.spacing_mm) for r in queries.rebar_parse(spark, "").collect())
+    assert got == [(1, 11, 0, 25, "T16", None, None), (1, 13, 0, 2, None, 16.0, None), (1, 13, 1, 1, None, 12.0, None), (2, 27, 0, None, "T10", None, 150)]
