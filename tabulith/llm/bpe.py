@@ -14,6 +14,7 @@ from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ _UNITS = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 _UNSAFE = f"[{_WS}] (?:[{_WS}]|$)"
 #: Distinct stretches that a task holds before it hands them on.
 _HELD = 300_000
+#: Units that go to the library at once.
+_AT_ONCE = 50_000
 
 
 @lru_cache(maxsize=4)
@@ -63,6 +66,16 @@ def default_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _renumbered(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes below n that occur, in ascending order, and codes by their place among them."""
+    there = np.zeros(n, bool)
+    there[codes] = True
+    used = np.flatnonzero(there)
+    place = np.zeros(n, np.int64)
+    place[used] = np.arange(len(used))
+    return used, place[codes]
+
+
 def units(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """First unit of each text (and the end), the unit's code at each position, distinct units by code."""
     added = _added(path)
@@ -78,9 +91,9 @@ def units(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, list[str
     codes, n = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
     first = offsets[:-1]
     codes[first] += n  # nothing stands before a text's first piece
-    used, codes = np.unique(codes, return_inverse=True)
-    names = chunks.strings(coded.dictionary)
-    found = [" " + names[c] if c < n else names[c - n] for c in used.tolist()]
+    used, codes = _renumbered(codes, 2 * n)
+    behind, begin = used[used < n], used[used >= n] - n
+    found = chunks.strings(pc.binary_join_element_wise(pa.scalar("", pa.large_string()), coded.dictionary.take(pa.array(behind)), pa.scalar(" ", pa.large_string()))) + chunks.strings(coded.dictionary.take(pa.array(begin)))
     if (empty := found.index("") if "" in found else -1) >= 0:
         keep = codes != empty
         offsets = np.concatenate([[0], np.cumsum(keep)])[offsets]
@@ -99,9 +112,9 @@ def units(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, list[str
     return offsets, codes, found
 
 
-def spread(offsets: np.ndarray, codes: np.ndarray, unit_ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """ids of all texts, and where each text's begin (and the end); unit_ids lie one unit after another."""
-    start = np.cumsum(sizes) - sizes
+def spread(offsets: np.ndarray, codes: np.ndarray, unit_ids: np.ndarray, sizes: np.ndarray, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """ids of all texts, and where each text's begin (and the end); unit_ids lie one unit after another, or from start."""
+    start = np.cumsum(sizes) - sizes if start is None else start
     size = sizes[codes]
     end = np.cumsum(size)
     at = np.repeat(start[codes] - (end - size), size) + np.arange(end[-1] if len(end) else 0)
@@ -124,28 +137,35 @@ class WordTable:
     tokenizer_file: str
 
     def ids(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """ids of units one after another, and how many each has; an unknown unit is an error."""
+        """ids of units one after another, and how many each has. Units that the table has not, or has
+        no room for as two share a key, are encoded here."""
         key, check = _keys(found)
         arrays = HashArrays(self.folder, self.shards)
-        sizes, hits = np.zeros(len(found), np.int64), []
+        sizes, hits, absent = np.zeros(len(found), np.int64), [], np.ones(len(found), bool)
         for shard, at, row in arrays.find(key):
+            right = arrays.column(shard, "check")[row] == check[at]
+            at, row = at[right], row[right]
             ends = arrays.column(shard, "end")
             before = np.where(row > 0, ends[row - 1], 0).astype(np.int64)
-            if not (arrays.column(shard, "check")[row] == check[at]).all():
-                raise LookupError("two units share a hash")
             sizes[at] = ends[row] - before
+            absent[at] = False
             hits.append((shard, at, before))
-        if sum(len(at) for _, at, _ in hits) != len(found):
-            raise LookupError("a unit is not in the table")
+        rest = np.flatnonzero(absent)
+        own, own_sizes = encode_units([found[i] for i in rest.tolist()], self.tokenizer_file)
+        sizes[rest] = own_sizes
         to = np.cumsum(sizes) - sizes
         out = np.empty(int(sizes.sum()), np.uint32)
         for shard, at, before in hits:
-            n = sizes[at]
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            out[np.repeat(to[at], n) + step] = arrays.column(shard, "ids")[np.repeat(before, n) + step]
+            out[_runs(to[at], sizes[at])] = arrays.column(shard, "ids")[_runs(before, sizes[at])]
+        out[_runs(to[rest], own_sizes)] = own
         return out, sizes
 
 
+def _runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of n places each, one run after another."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
 def build_table(docs: DataFrame, tokenizer_file: str | None = None, text_col: str = "text", folder: str | None = None) -> WordTable:
     """Encodes each distinct unit of the texts once, with the tokenizers library."""
     spark = docs.sparkSession
@@ -174,16 +194,23 @@ def build_table(docs: DataFrame, tokenizer_file: str | None = None, text_col: st
             which = batch.column(0).to_numpy()
             for s in np.unique(which).tolist():
                 mine.setdefault(s, set()).update(chunks.strings(batch.column(1).filter(pa.array(which == s))))
-        for s, found in mine.items():
-            words = sorted(found)
+        while mine:
+            s, left = mine.popitem()
+            words = sorted(left)
+            left.clear()
             key, check = _keys(words)
-            ids, sizes = encode_units(words, path)
-            order = np.argsort(key)
-            at = np.cumsum(sizes) - sizes
-            n = sizes[order]
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            order = np.argsort(key, kind="stable")
+            key, check = key[order], check[order]
+            alone = np.ones(len(key), bool)  # of units with one key the first is kept, and none if they are alike in the check too
+            alone[1:] = key[1:] != key[:-1]
+            same = np.flatnonzero(~alone)
+            alone[same[check[same] == check[same - 1]] - 1] = False
+            order = order[alone].tolist()
+            made = [encode_units([words[i] for i in order[at : at + _AT_ONCE]], path) for at in range(0, len(order), _AT_ONCE)]
             small = np.uint16 if tokenizer(path).get_vocab_size() <= 1 << 16 else np.uint32
-            write_shard(where, s, {"key": key[order], "check": check[order], "end": np.cumsum(n).astype(np.uint32), "ids": ids[np.repeat(at[order], n) + step].astype(small)})
+            ids = np.concatenate([np.zeros(0, small), *(x.astype(small) for x, _ in made)])
+            ends = np.cumsum(np.concatenate([np.zeros(0, np.int64), *(n for _, n in made)]))
+            write_shard(where, s, {"key": key[alone], "check": check[alone], "end": ends.astype(np.uint32), "ids": ids})
             yield pa.RecordBatch.from_pydict({"n": pa.array([len(words)])})
 
     found = docs.select(docs[text_col].alias("text")).mapInArrow(gather, "shard int, unit string")
@@ -191,45 +218,93 @@ def build_table(docs: DataFrame, tokenizer_file: str | None = None, text_col: st
     return WordTable(where, shards, path)
 
 
-#: The byte-level pre-tokenizer's pattern, for ASCII (fixed value).
-_ASCII_PIECES = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+#: What the letters and white space of the pre-tokenizer's pattern are up to U+024F (fixed values); NUL is kept free as an end mark.
+_L, _S = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f", r" \t-\r"
+_PIECES = re.compile(rf"\0|'(?:[sdmt]|ll|ve|re)| ?[{_L}]+| ?[0-9]+| ?[^\0{_S}{_L}0-9]+|[{_S}]+(?![^\0{_S}])|[{_S}]+")
+#: Units in which other characters stand go through the whole library.
+_OTHER = "[^\x01-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"
+
+
+@lru_cache(maxsize=4)
+def _letters(path: str) -> dict[int, str]:
+    """The vocabulary's letters for the UTF-8 bytes of the characters from U+0001 up to U+024F."""
+    letter = {b: c for c, b in _byte_letters().items()}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(1, 0x250)}
+
+
+def _byte_letters() -> dict[str, int]:
+    """The byte for which each letter of a byte-level vocabulary stands."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
 @lru_cache(maxsize=4)
-def _ascii_letters(path: str) -> dict[int, str]:
-    """The vocabulary's letters for ASCII bytes."""
-    return {b: chr(b) if 33 <= b <= 126 else chr(256 + b - (94 if b == 127 else 0)) for b in range(128)}
+def _model_alone(path: str):
+    """The library's tokenizer with the same BPE model, and nothing that cuts texts before it."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer(tokenizer(path).model)
+
+
+@lru_cache(maxsize=4)
+def _token_letters(path: str) -> np.ndarray:
+    """Letters of each id's token."""
+    vocab = tokenizer(path).get_vocab(with_added_tokens=False)
+    out = np.zeros(max(vocab.values(), default=-1) + 1, np.int64)
+    out[list(vocab.values())] = list(map(len, vocab))
+    return out
+
+
+def _encode_pieces(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """ids and sizes of units that have only characters up to U+024F and no added token.
+
+    The units are cut together, and their distinct pieces go to the BPE model together; as a piece's
+    tokens have as many letters as it has itself, its ids are found again by counting letters."""
+    coded = pa.array(_PIECES.findall("\0".join([*chunks.strings(column), ""])), pa.string()).dictionary_encode()
+    codes, found = coded.indices.to_numpy().astype(np.int64), chunks.strings(coded.dictionary)
+    mark = found.index("\0")
+    del found[mark]
+    letters = "\0".join(found).translate(_letters(path)).split("\0") if found else []
+    ids = np.array(array("I", _model_alone(path).encode_batch_fast([letters], is_pretokenized=True, add_special_tokens=False)[0].ids), np.uint32)
+    to = np.searchsorted(np.cumsum(_token_letters(path)[ids]), np.cumsum(list(map(len, letters))), side="right")
+    sizes = np.insert(np.diff(to, prepend=0), mark, 0)
+    size = sizes[codes]
+    out = ids[_runs((np.cumsum(sizes) - sizes)[codes], size)]
+    return out, np.diff(np.cumsum(size)[codes == mark], prepend=0)
 
 
 def encode_units(found: list[str], path: str, at_once: int = 5000) -> tuple[np.ndarray, np.ndarray]:
     """ids of units by the library, one unit after another, and how many each has.
 
-    ASCII units are cut here and go to the library's BPE model piece by piece, which spares its
+    Units of common characters are cut here and go to the library's BPE model, which spares its
     bookkeeping; all others, and those with an added token, go through the whole library."""
-    model, added, letters = tokenizer(path).model, _added_strings(path), _ascii_letters(path)
-    made: list[list[int]] = [[]] * len(found)
-    of_piece: dict[str, list[int]] = {}
-    rest = []
-    for i, unit in enumerate(found):
-        if not unit.isascii() or any(x in unit for x in added if x[0] in unit):
-            rest.append(i)
-            continue
-        ids: list[int] = []
-        for piece in _ASCII_PIECES.findall(unit):
-            own = of_piece.get(piece)
-            if own is None:
-                own = of_piece[piece] = [t.id for t in model.tokenize(piece.replace(" ", letters[32]) if piece.isprintable() else piece.translate(letters))]
-            ids = ids + own if ids else own
-        made[i] = ids
+    if not found:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    column = pa.array(found, pa.large_string())
+    other = pc.match_substring_regex(column, _OTHER)
+    for x in _added_strings(path):
+        other = pc.or_(other, pc.match_substring(column, x))
+    rest = np.flatnonzero(other.to_numpy(zero_copy_only=False))
+    if not len(rest):
+        return _encode_pieces(column, path)
+    flat, own_sizes = array("I"), []
     for at in range(0, len(rest), at_once):
-        some = rest[at : at + at_once]
-        for i, x in zip(some, tokenizer(path).encode_batch_fast([found[i] for i in some], add_special_tokens=False), strict=True):
-            made[i] = x.ids
-    sizes = np.fromiter(map(len, made), np.int64, len(made))
-    flat = array("I")
-    for ids in made:
-        flat.extend(ids)
-    return np.array(flat, np.uint32), sizes
+        for x in tokenizer(path).encode_batch_fast([found[i] for i in rest[at : at + at_once].tolist()], add_special_tokens=False):
+            own = x.ids
+            flat.extend(own)
+            own_sizes.append(len(own))
+    sizes, easy = np.zeros(len(found), np.int64), pc.invert(other)
+    sizes[rest] = own_sizes
+    ids = np.zeros(0, np.uint32)
+    if len(rest) < len(found):
+        ids, sizes[easy.to_numpy(zero_copy_only=False)] = _encode_pieces(column.filter(easy), path)
+    out = np.empty(int(sizes.sum()), np.uint32)
+    to = np.cumsum(sizes) - sizes
+    mine = easy.to_numpy(zero_copy_only=False)
+    out[_runs(to[mine], sizes[mine])] = ids
+    out[_runs(to[rest], sizes[rest])] = np.array(flat, np.uint32)
+    return out, sizes
 
 
 def _carried(docs: DataFrame, text_col: str, extra: dict[str, Column]) -> tuple[DataFrame, str]:
@@ -237,6 +312,13 @@ def _carried(docs: DataFrame, text_col: str, extra: dict[str, Column]) -> tuple[
     return frame, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1])
 
 
+def _ids(part: pa.RecordBatch, table: WordTable) -> pa.Array:
+    """ids of a batch's texts."""
+    offsets, codes, found = units(chunks.texts(part), table.tokenizer_file)
+    ids, first = spread(offsets, codes, *table.ids(found))
+    return binary(ids.astype("<u4"), first * 4)
+
+
 def encode(docs: DataFrame, table: WordTable, extra: dict[str, Column], text_col: str = "text") -> DataFrame:
     """The extra columns and ``ids`` (little-endian unsigned 32-bit integers) of every row's whole text.
 
@@ -248,12 +330,7 @@ def encode(docs: DataFrame, table: WordTable, extra: dict[str, Column], text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks.pieces(batches, most=2 << 20):
-            offsets, codes, found = units(chunks.texts(part), table.tokenizer_file)
-            if "" in found:  # a piece that no position has
-                used, codes = np.unique(codes, return_inverse=True)
-                found = [found[i] for i in used.tolist()]
-            ids, first = spread(offsets, codes, *table.ids(found))
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], binary(ids.astype("<u4"), first * 4)], names=[*part.schema.names[:-1], "ids"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], _ids(part, table)], names=[*part.schema.names[:-1], "ids"])
 
     return frame.mapInArrow(run, f"{schema}, ids binary")
 
@@ -266,9 +343,7 @@ def binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 @lru_cache(maxsize=4)
 def pieces(path: str) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the vocabulary's pieces one after another, and where each id's begin (and the end)."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    other = [b for b in range(256) if b not in set(plain)]
-    byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+    byte = _byte_letters()
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     vocab = {i: bytes(byte[c] for c in t) for t, i in spec["model"]["vocab"].items()} | {x["id"]: x["content"].encode() for x in spec["added_tokens"]}
@@ -276,6 +351,17 @@ def pieces(path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(each), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in each])])
 
 
+def _texts(ids_column: pa.Array, path: str) -> pa.Array:
+    """Texts of ids, joined with the vocabulary's pieces."""
+    data, start = pieces(path)
+    raw, ends = chunks.raw(pc.fill_null(pc.cast(ids_column, pa.large_binary()), b""))
+    ids = np.frombuffer(raw.tobytes(), "<u4")
+    n = np.diff(start)[ids]
+    out = data[_runs(start[ids], n)].tobytes()
+    cut = np.concatenate([[0], np.cumsum(n)])[ends // 4].tolist()
+    return pa.array([out[a:b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.string())
+
+
 def decode(encoded: DataFrame, tokenizer_file: str | None = None, ids_col: str = "ids") -> DataFrame:
     """encoded with a column ``decoded``: the text of the ids, special tokens as their strings; null ids give "".
 
@@ -285,17 +371,9 @@ def decode(encoded: DataFrame, tokenizer_file: str | None = None, ids_col: str =
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, start = pieces(path)
         for batch in chunks.pieces(batches, ids_col, 4 << 20):
-            column = pc.fill_null(pc.cast(batch.column(batch.schema.get_field_index(ids_col)), pa.large_binary()), b"")
-            raw, ends = chunks.raw(column)
-            ids = np.frombuffer(raw.tobytes(), "<u4")
-            n = np.diff(start)[ids]
-            to = np.cumsum(n)
-            out = data[np.repeat(start[ids] - (to - n), n) + np.arange(to[-1] if len(to) else 0)].tobytes()
-            cut = np.concatenate([[0], to])[ends // 4].tolist()
-            texts = [out[a:b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            texts = _texts(batch.column(batch.schema.get_field_index(ids_col)), path)
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, f"{schema}, decoded string")
 
@@ -317,23 +395,27 @@ Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 def encoder(path: str, most: int = 500_000) -> Encoder:
     """Encodes texts by their distinct units without a table; up to ``most`` units are remembered."""
-    known: dict[str, bytes] = {}
+    known: dict[str, int] = {}
+    held, start, size, used = np.zeros(1 << 16, np.uint32), np.zeros(most, np.int64), np.zeros(most, np.int64), 0
 
     def run(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal held, used
         offsets, codes, found = units(column, path)
-        new = [u for u in found if u not in known]
-        own = known
-        if new:
-            ids, sizes = encode_units(new, path)
-            ends = np.cumsum(sizes).tolist()
-            made = {u: ids[b - n : b].tobytes() for u, b, n in zip(new, ends, sizes.tolist(), strict=True)}
-            if len(known) + len(made) <= most:
-                known.update(made)
-            else:
-                own = known | made
-        each = [own[u] for u in found]
-        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        return spread(offsets, codes, np.frombuffer(b"".join(each), np.uint32), sizes)
+        at = np.fromiter(map(known.get, found, repeat(-1)), np.int64, len(found))
+        absent = np.flatnonzero(at < 0)
+        new = [found[i] for i in absent.tolist()]
+        ids, n = encode_units(new, path)
+        begin, many = start[at], size[at]
+        begin[absent], many[absent] = used + np.cumsum(n) - n, n
+        kept = min(len(new), most - len(known))
+        start[len(known) : len(known) + kept], size[len(known) : len(known) + kept] = begin[absent[:kept]], n[:kept]
+        known.update(zip(new[:kept], range(len(known), len(known) + kept), strict=True))
+        everything = used + len(ids)
+        if everything > len(held):
+            held = np.concatenate([held, np.zeros(everything, np.uint32)])
+        held[used:everything] = ids
+        used += int(n[:kept].sum())
+        return spread(offsets, codes, held, many, begin)
 
     return run
 
