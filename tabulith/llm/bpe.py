@@ -379,9 +379,18 @@ def decode(encoded: DataFrame, tokenizer_file: str | None = None, ids_col: str =
 
 
 def round_trip(docs: DataFrame, extra: dict[str, Column], tokenizer_file: str | None = None, text_col: str = "text") -> DataFrame:
-    """The extra columns, ids and decoded, with a word table of the texts themselves."""
+    """The extra columns, ids and decoded, with a word table of the texts themselves.
+
+    One worker for each task encodes and decodes; rows are as encode() and decode() give them."""
     table = build_table(docs, tokenizer_file, text_col)
-    return decode(encode(docs, table, extra, text_col), table.tokenizer_file)
+    frame, schema = _carried(docs, text_col, extra)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks.pieces(batches, most=2 << 20):
+            ids = _ids(part, table)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, _texts(ids, table.tokenizer_file)], names=[*part.schema.names[:-1], "ids", "decoded"])
+
+    return frame.mapInArrow(run, f"{schema}, ids binary, decoded string")
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
