@@ -1,13 +1,15 @@
 """Secrets in whole texts, and how many repositories and owners each candidate is found with.
 
-Three patterns give the base spans. A fourth finds tokens of mixed letters and digits without a
-keyword. Every candidate value is hashed and counted over the corpus by distinct repositories and
+Three patterns give the base spans. A fourth takes the longest stretches of letters, digits, - and _
+that have a digit, a capital and a small letter, and no keyword. Every candidate value is hashed and counted over the corpus by distinct repositories and
 owners: what many owners share, or few owners have in many repositories each, is a widely copied
 example; the rest looks live, and such a token is reported as a span of kind ``live``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +20,10 @@ PATTERNS = {
     "assign": r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
     "access": r"AKIA[A-Z0-9]{16,}",
     "hex": r"[0-9a-f]{24,}",
-    "live": r"\b(?=[A-Za-z0-9_-]*[0-9])(?=[A-Za-z0-9_-]*[A-Z])(?=[A-Za-z0-9_-]*[a-z])[A-Za-z0-9_-]{20,}",
+    "live": r"[A-Za-z0-9_-]{20,}",
 }
+#: What a stretch of kind live must have each of; asked of its matches, as lookaheads would read on from every place.
+LIVE_HAS = ("[0-9]", "[A-Z]", "[a-z]")
 #: Least code points of the value of an assignment.
 LEAST_VALUE = 6
 #: A value with so many distinct owners or more is an example.
@@ -28,17 +32,17 @@ EXAMPLE_OWNERS = 3
 EXAMPLE_REPOSITORIES = 20
 
 
-def _found(text: Column, pattern: str) -> Column:
-    """Matches of a pattern, leftmost first and not overlapping, and the code points before each since the last."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.struct(matches.alias("m"), F.when(F.regexp_like(text, F.lit(pattern)), F.transform(F.split(text, pattern, -1), F.length)).alias("gaps"))
+def _gaps(text: Column, pattern: str) -> Column:
+    """Code points before each match of a pattern since the last."""
+    return F.transform(F.split(text, pattern, -1), F.length)
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(row, doc_id) for all rows of docs, and their spans: row, owner, repository, ord, kind, start, end, value."""
-    text = F.coalesce(docs[text_col], F.lit(""))
-    kinds = F.array(*(F.struct(F.lit(i).alias("ord"), F.lit(k).alias("kind"), _found(text, p).alias("f")) for i, (k, p) in enumerate(PATTERNS.items())))
-    wide = docs.select(docs[id_col].alias("doc_id"), docs[owner_col].cast("string").alias("owner"), docs[repository_col or id_col].cast("string").alias("repository"), F.filter(kinds, lambda x: x["f"]["gaps"].isNotNull()).alias("kinds"))
+    text, names = F.coalesce(docs[text_col], F.lit("")), [f"m{i}" for i in range(len(PATTERNS))]
+    whole = docs.select(docs[id_col].alias("doc_id"), docs[owner_col].cast("string").alias("owner"), docs[repository_col or id_col].cast("string").alias("repository"), text.alias("t"), *(F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(n) for n, p in zip(names, PATTERNS.values(), strict=True)))
+    kinds = F.array(*(F.when(F.size(n) > 0, F.struct(F.lit(i).alias("ord"), F.lit(k).alias("kind"), F.struct(F.col(n).alias("m"), _gaps(F.col("t"), p).alias("gaps")).alias("f"))) for i, (n, (k, p)) in enumerate(zip(names, PATTERNS.items(), strict=True))))
+    wide = whole.select("doc_id", "owner", "repository", F.filter(kinds, lambda x: x.isNotNull()).alias("kinds"))
     seen = stash(wide.withColumn("row", F.monotonically_increasing_id()), "candidates")
     each = seen.select("row", "owner", "repository", F.explode("kinds").alias("k"))
     each = each.select("row", "owner", "repository", "k.ord", "k.kind", F.posexplode(F.arrays_zip(F.col("k.f.m").alias("m"), F.slice("k.f.gaps", F.lit(1), F.size("k.f.m")).alias("gap"))).alias("i", "x"))
@@ -47,7 +51,9 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     each = each.withColumn("end", F.sum(F.col("x.gap") + size).over(w))
     value = F.when(F.col("kind") == "assign", F.regexp_extract("x.m", PATTERNS["assign"], 2)).otherwise(F.col("x.m"))
     spans = each.select("row", "owner", "repository", "ord", "kind", (F.col("end") - size).alias("start"), "end", value.alias("value"))
-    return seen.select("row", "doc_id"), spans.where((F.col("kind") != "assign") | (F.length("value") >= LEAST_VALUE))
+    mixed = reduce(Column.__and__, (F.rlike("value", F.lit(x)) for x in LIVE_HAS))
+    good = F.when(F.col("kind") == "assign", F.length("value") >= LEAST_VALUE).when(F.col("kind") == "live", mixed).otherwise(F.lit(True))
+    return seen.select("row", "doc_id"), spans.where(good)
 
 
 def frequencies(spans: DataFrame) -> DataFrame:

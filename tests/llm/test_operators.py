@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -109,6 +110,36 @@ def test_secret_copied_in_one_source(spark):
     assert [tuple(x) for x in got[91].candidates] == [("access:4:24", 1, 2, False)]
 
 
+def test_secret_scan_of_adversarial_texts(spark):
+    """Long texts of places at which a token might begin take time in proportion; live spans are as by a plain scan."""
+    rng = random.Random(5)
+    some = ["a-", "_", "A", "7", "Zx9_", " ", ".", "password", ":", "é", "0" * 24, "AKIA"]
+    texts = ["a-" * 500_000, "-" * 300_000, ("secret" + " " * 50) * 5000, *("".join(rng.choices(some, k=rng.randint(0, 60))) for _ in range(300))]
+    began = time.time()
+    got = {r.doc_id: r for r in secret_scan.scan(spark.createDataFrame([(i, t, f"o{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")).collect()}
+    assert time.time() - began < 60
+    for i, t in enumerate(texts):
+        want = {f"live:{m.start()}:{m.end()}" for m in re.finditer(r"[A-Za-z0-9_-]+", t) if len(m[0]) >= 20 and all(re.search(x, m[0]) for x in ("[0-9]", "[A-Z]", "[a-z]"))}
+        found = {x.span for x in got[i].candidates if x.span.startswith("live:")}
+        assert found == want, (i, t[:100])
+
+
+def test_word_table_of_another_corpus(spark, monkeypatch):
+    """Units that a table lacks, and those whose hashes collide, are encoded all the same."""
+    texts = ["one two three", "four's five\n six", "one 七 eight"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = bpe.build_table(docs.where("doc_id = 0"))
+    want = [bpe.tokenizer(table.tokenizer_file).encode(t, add_special_tokens=False).ids for t in texts]
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in bpe.encode(docs, table, {"doc_id": docs["doc_id"]}).collect()}
+    assert [got[i] for i in range(3)] == want
+    found = sorted({u for t in texts for u in bpe.units(pa.array([t], pa.large_string()), table.tokenizer_file)[2]})
+    keys = bpe._keys
+    monkeypatch.setattr(bpe, "_keys", lambda x: (lambda k, c: (np.zeros_like(k), c))(*keys(x)))
+    ids, sizes = table.ids(found)
+    each = [bpe.tokenizer(table.tokenizer_file).encode(u, add_special_tokens=False).ids for u in found]
+    assert ids.tolist() == sum(each, []) and sizes.tolist() == list(map(len, each))
+
+
 def test_bpe_round_trip(docs, rows):
     path = bpe.default_file()
     got = bpe.round_trip(docs, {"doc_id": docs["doc_id"]}).collect()
@@ -181,6 +212,37 @@ def test_quality_posterior():
     assert ((p[back.ravel()] > 0.5) == good).mean() > 0.95 and abs(share - 0.7) < 0.05
 
 
+def test_quality_of_every_document(docs):
+    """The whole verdict by expectation-maximisation over single documents, one at a time and without patterns."""
+    got = quality.assess(docs).collect()
+    names = sorted(got[0].votes)
+    votes = [[r.votes[n] + 1 for n in names] for r in got]
+    p = [[[0.6, 0.25, 0.15] for _ in names], [[0.15, 0.25, 0.6] for _ in names]]
+    prior = [0.3, 0.7]
+
+    def posterior(v):
+        both = [prior[c] * math.prod(p[c][i][x] for i, x in enumerate(v)) for c in (0, 1)]
+        return both[1] / sum(both)
+
+    for _ in range(100):
+        mass = [[1 - q, q] for q in map(posterior, votes)]
+        new = []
+        for c in (0, 1):
+            rows = [[1 + sum(m[c] for m, v in zip(mass, votes, strict=True) if v[i] == k) for k in range(3)] for i in range(len(names))]
+            new.append([[x / sum(r) for x in r] for r in rows])
+        for bad, good in zip(*new, strict=True):
+            good[2], bad[2] = max(good[2], bad[2]), min(good[2], bad[2])
+        new = [[[x / sum(r) for x in r] for r in side] for side in new]
+        prior = [(sum(m[c] for m in mass) + 1) / (len(mass) + 2) for c in (0, 1)]
+        done = max(abs(math.log(a) - math.log(b)) for x, y in zip(new, p, strict=True) for r, t in zip(x, y, strict=True) for a, b in zip(r, t, strict=True)) < 1e-6
+        p = new
+        if done:
+            break
+    for r, v in zip(got, votes, strict=True):
+        assert abs(posterior(v) - r.quality) < 1e-6
+        assert r.kept == (not r.base_failed and posterior(v) >= 0.5)
+
+
 def test_exact_dedup(docs, rows):
     got = exact_dedup.deduplicate(docs).collect()
     groups: dict = {}
@@ -204,6 +266,26 @@ def test_exact_dedup_goes_on(spark):
     assert got == {1: (5, False, 2), 2: (2, True, 1)} and again.rows().count() == 3
 
 
+def test_exact_dedup_reopened_with_other_partitions(spark):
+    """The index keeps its own number of buckets, and a group counts the rows of all batches."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        index = exact_dedup.DigestIndex(spark)
+        assert exact_dedup.deduplicate(docs, index).where("kept").count() == 40
+        index.close()
+        for n, size in ((7, 2), (5, 3), (3, 4)):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            again = exact_dedup.DigestIndex(spark, index.path)
+            got = exact_dedup.deduplicate(docs, again).collect()
+            assert again.buckets == 4 and not any(r.kept for r in got) and {r.group_size for r in got} == {size}
+            again.close()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert not [t.name for t in spark.catalog.listTables() if t.name == index.name]
+
+
 def test_mixing_targets(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 90), (None, 0)], "source_key string, source_size long")
     got = {r.source_key: r.target for r in mixing.targets(sizes).collect()}
@@ -235,6 +317,69 @@ def test_language(docs, spark):
     assert language.accept(docs).columns == docs.columns
 
 
+def _language_by_hand(learned, text):
+    """(language, share) of a text by the method written out with dictionaries, word by word; learned: (text, lang)."""
+    words = lambda t: [w for w in ("".join(c for c in x if c.isalpha()).lower() for x in WORD.findall(t)) if w]
+
+    def bins(word):
+        b = b" " + word.encode() + b" "
+        return [((b[i] << 16 | b[i + 1] << 8 | b[i + 2]) * 2654435761 % (1 << 32)) >> 17 for i in range(len(b) - 2)]
+
+    langs = sorted({lang for _, lang in learned})
+    counts = {lang: Counter(x for t, of in learned if of == lang for w in words(t) for x in bins(w)) for lang in langs}
+    total = {lang: sum(counts[lang].values()) + language.SMOOTHING * language.BINS for lang in langs}
+    bag = Counter(words(text))
+    if not bag:
+        return "und", 0.0
+    like = {}
+    for w in bag:
+        logs = {lang: sum(math.log((counts[lang][x] + language.SMOOTHING) / total[lang]) for x in bins(w)) for lang in langs}
+        like[w] = {lang: math.exp(v - max(logs.values())) for lang, v in logs.items()}
+    n = sum(bag.values())
+
+    def em(share, steps):
+        for _ in range(steps):
+            new = dict.fromkeys(share, 0.0)
+            for w, k in bag.items():
+                s = sum(like[w][x] * share[x] for x in share)
+                for x in share:
+                    new[x] += k * like[w][x] * share[x] / max(s, 1e-30)
+            share = {x: v / n for x, v in new.items()}
+        return share, sum(k * math.log(max(sum(like[w][x] * share[x] for x in share), 1e-30)) for w, k in bag.items())
+
+    scored = lambda share, fit: fit - sum(v > 0 for v in share.values()) * math.log(n + 1) / 2
+    share, _ = em(dict.fromkeys(langs, 1 / len(langs)), language.STEPS)
+    least = min(language.LEAST_SHARE, max(share.values()))
+    share = {x: v for x, v in share.items() if v >= least}
+    share, fit = em({x: v / sum(share.values()) for x, v in share.items()}, 1)
+    best = scored(share, fit)
+    while len(share) > 1:
+        rest = {x: v for x, v in share.items() if x != min(share, key=share.get)}
+        rest, fit = em({x: v / sum(rest.values()) for x, v in rest.items()}, language.REFIT_STEPS)
+        if scored(rest, fit) < best:
+            break
+        share, best = rest, scored(rest, fit)
+    top = max(share, key=share.get)
+    return top, share[top]
+
+
+def test_language_by_hand(spark):
+    """Every prediction of a small corpus, mixed documents too, against the method written apart from it."""
+    rng = random.Random(11)
+    letters = {"aa": "abcdeé ", "bb": "cdefgñ ", "cc": "xyzabß "}
+    say = lambda lang, n: "".join(rng.choices(letters[lang], k=n))
+    learned = [(say(lang, rng.randint(40, 300)), lang) for lang in letters for _ in range(8)]
+    asked = [say(lang, rng.randint(5, 200)) for lang in letters for _ in range(10)]
+    asked += [say("aa", 120) + " " + say("cc", 120), say("bb", 60) + " " + say("cc", 200), "12 34 ... !", "", "a", "É é\u2028ß 7ñ"]
+    model = language.learn(spark.createDataFrame(learned, "text string, lang string").repartition(3))
+    df = spark.createDataFrame([*enumerate(asked), (-1, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(df, model).collect()}
+    assert got.pop(-1) == ("und", 0.0)
+    for i, text in enumerate(asked):
+        lang, share = _language_by_hand(learned, text)
+        assert got[i][0] == lang and abs(got[i][1] - share) < 1e-3, (i, text, got[i], lang, share)
+
+
 def test_url_filter(spark):
     link = '<link rel="canonical" href="{}">'
     pages = [
@@ -269,6 +414,25 @@ def test_url_filter_relative_and_repeated_tags(spark):
     assert found == {(b, t): urljoin(b, t) for b in bases for t in targets}
 
 
+def test_url_filter_matches_sql_on_links(spark, tmp_path):
+    """Pages full of links of every kind, which the given tables lack, in the operator and in its SQL."""
+    import pyarrow.parquet as pq
+
+    rng = random.Random(9)
+    hosts = ["a.com", "B.com", "bad.net", "BAD.net", "x.example.com", "ok.org", "example.net"]
+    paths = ["", "/", "/de/1", "/en/2", "/fr/3", "/a/b/c?x=1", "/a/b/#f"]
+    targets = ["x", "../x", "../../de/9", "./", "..", "?q=1", "#g", "//bad.net/y", "/de/1", "/fr/../en/2", "mailto:a@b.c", "http://ok.org/fr/3", "http://bAd.net/", "http://q.com/a?b=1&amp;c=2", "https://a.com/"]
+    tags = ['<link rel="canonical" href="{}">', "<LINK href='{}' rel=canonical>", '<meta http-equiv="refresh" content="0; url={}">', '<link rel="icon" href="{}">']
+    rows = []
+    for i in range(150):
+        html = "".join(rng.choice(tags).format(rng.choice(targets)) for _ in range(rng.choice([0, 0, 1, 1, 2])))
+        rows.append((i, f"{rng.choice(['http', 'https', 'HTTP'])}://{rng.choice(hosts)}{rng.choice(paths)}" if i % 17 else None, html if i % 13 else None))
+    pq.write_table(pa.table({"page_id": [r[0] for r in rows], "url": [r[1] for r in rows], "html": [r[2] for r in rows]}), tmp_path / "pages.parquet")
+    compare(spark, url_filter.op9_url_filter, url_filter.OP9_SQL, tmp_path)
+    got = url_filter.op9_url_filter(spark, str(tmp_path)).collect()
+    assert sum(r.rule is None and r.verdict == "block" for r in got) > 3 and sum(r.alias_of is not None for r in got) > 50
+
+
 def joined(ids, links):
     up = {i: i for i in ids}
 
