@@ -46,6 +46,9 @@ HEADER_ALIASES = {
     "length": ("length", "len", "bar length"),
 }
 
+# Canonical fields whose cells hold cell notations.
+NOTATION_FIELDS = ("top_reinforcement", "bottom_reinforcement", "straight_bars", "bent_bars", "stirrups", "main_reinforcement", "distribution_bars", "spacing", "bar_diameter")
+
 # Header texts that speak for a table, and against it.
 ALLOW = {
     "schedule_headers": ("Ref No.", "Type", "Count", "Bar Diameter", "Volume", "Weight"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PAGE = ["doc_id", "page_no"]
@@ -32,48 +32,91 @@ def merge_collinear(lines: DataFrame, tolerance: float = 2.0, per: list[str] = P
     return grouped.agg(F.avg("position").alias("position"), F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
 
 
+def row_bottoms(lines: DataFrame, gap: float = 40.0, per: list[str] = PAGE) -> DataFrame:
+    """bottom: the last row of horizontals, to a tenth, before the first gap over ``gap``; only where there are two rows or more."""
+    rows = lines.where("orientation = 'horizontal'").select(*per, F.bround("position", 1).alias("y")).distinct()
+    order = Window.partitionBy(*per).orderBy("y")
+    steps = rows.withColumn("next", F.lead("y").over(order)).groupBy(*per)
+    ends = steps.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.min(F.when(F.col("next") - F.col("y") > gap, F.col("y"))), F.max("y")).alias("bottom"))
+    return ends.where("n >= 2").drop("n")
+
+
 def trim_bottom(lines: DataFrame, gap: float = 40.0, per: list[str] = PAGE) -> DataFrame:
     """Rulings without the horizontals below the first gap over ``gap``; fewer than two rows stay as they are."""
-    rows = lines.where("orientation = 'horizontal'").select(*per, "position").distinct()
-    order = Window.partitionBy(*per).orderBy("position")
-    ends = rows.withColumn("next", F.lead("position").over(order)).groupBy(*per).agg(F.min(F.when(F.col("next") - F.col("position") > gap, F.col("position"))).alias("bottom"))
-    return lines.join(ends, per, "left").where("orientation = 'vertical' or bottom is null or position <= bottom + 1").drop("bottom")
+    met = lines.join(row_bottoms(lines, gap, per), per, "left")
+    return met.where("orientation = 'vertical' or bottom is null or position <= bottom + 1").drop("bottom")
 
 
-def grid_cells(lines: DataFrame, per: list[str] = PAGE) -> DataFrame:
-    """Cells (r, c, x0, y0, x1, y1) of each grid from at least two positions each way."""
+def grid_positions(lines: DataFrame, per: list[str] = PAGE) -> DataFrame:
+    """ys and xs, the distinct positions to a tenth in order, of each grid with at least two each way."""
     lists = lines.groupBy(*per).agg(*(F.array_sort(F.collect_set(F.when(F.col("orientation") == o, F.bround("position", 1)))).alias(n) for o, n in (("horizontal", "ys"), ("vertical", "xs"))))
+    return lists.where((F.size("ys") >= 2) & (F.size("xs") >= 2))
+
+
+def position_cells(grids: DataFrame, per: list[str] = PAGE) -> DataFrame:
+    """Cells (r, c, x0, y0, x1, y1) between the positions ys and xs of grids, row by row."""
     spans = lambda a: F.transform(F.sequence(F.lit(1), F.size(a) - 1), lambda i: F.struct(F.element_at(a, i).alias("a"), F.element_at(a, i + 1).alias("b")))
-    grid = lists.where((F.size("ys") >= 2) & (F.size("xs") >= 2))
-    rows = grid.select(*per, "xs", F.posexplode(spans(F.col("ys"))).alias("r", "y"))
+    rows = grids.select(*per, "xs", F.posexplode(spans(F.col("ys"))).alias("r", "y"))
     cells = rows.select(*per, "r", "y", F.posexplode(spans(F.col("xs"))).alias("c", "x"))
     return cells.select(*per, F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"), F.col("x.a").alias("x0"), F.col("y.a").alias("y0"), F.col("x.b").alias("x1"), F.col("y.b").alias("y1"))
 
 
+def grid_cells(lines: DataFrame, per: list[str] = PAGE) -> DataFrame:
+    """Cells (r, c, x0, y0, x1, y1) of each grid from at least two positions each way."""
+    return position_cells(grid_positions(lines, per), per)
+
+
+def spans_holding(positions: Column, at: Column) -> Column:
+    """Numbers of the spans between ascending positions that hold a value; one on a position is in both beside it."""
+    below, upto = F.size(F.filter(positions, lambda p: p < at)), F.size(F.filter(positions, lambda p: p <= at))
+    first, last = F.greatest(below - 1, F.lit(0)), F.least(upto - 1, F.size(positions) - 2)
+    return F.when(first <= last, F.sequence(first.cast("long"), last.cast("long"))).otherwise(F.array().cast("array<bigint>"))
+
+
+def centred(words: DataFrame) -> DataFrame:
+    """Page, word_seq, text, cx and cy of words."""
+    return words.select(*PAGE, "word_seq", "text", ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
+
+
+def joined_text(when: Column | None = None) -> Column:
+    """Aggregate: texts in order of word_seq, a space between them; only those for which ``when`` holds."""
+    item = F.struct("word_seq", "text")
+    return F.array_join(F.transform(F.array_sort(F.collect_list(item if when is None else F.when(when, item))), lambda s: s["text"]), " ")
+
+
 def cell_text(words: DataFrame, cells: DataFrame) -> DataFrame:
-    """Cells with the words whose centre they hold, borders included, in order of word_seq."""
-    w = words.select(*PAGE, "word_seq", "text", ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
-    met = cells.join(w, PAGE).where("cx between x0 and x1 and cy between y0 and y1")
-    texts = met.groupBy(*PAGE, "r", "c").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word_seq", "text"))), lambda s: s["text"]), " ").alias("text"))
+    """Cells of page grids with the words whose centre they hold, borders included, in order of word_seq.
+
+    A word finds its rows and columns in its page's positions, and its cells by their numbers: no word
+    meets a cell that does not hold it. Cells without words have an empty text."""
+    grids = cells.groupBy(*PAGE).agg(*(F.array_sort(F.array_union(F.collect_set(f"{a}0"), F.collect_set(f"{a}1"))).alias(f"{a}s") for a in "yx"))
+    met = centred(words).join(grids, PAGE)
+    placed = met.select(*PAGE, "word_seq", "text", spans_holding(F.col("xs"), F.col("cx")).alias("cs"), F.explode(spans_holding(F.col("ys"), F.col("cy"))).alias("r"))
+    placed = placed.select(*PAGE, "word_seq", "text", "r", F.explode("cs").alias("c"))
+    texts = placed.groupBy(*PAGE, "r", "c").agg(joined_text().alias("text"))
     return cells.join(texts, [*PAGE, "r", "c"], "left").select(*PAGE, "r", "c", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def text_rows(words: DataFrame, tolerance: float = 6.0) -> DataFrame:
     """words with ``row``: in order of centre, a word joins the row while within tolerance of its running mean.
 
-    The mean moves with each word, so this is a fold over a page's words and not a window."""
+    The mean moves with each word, so this is a fold over a page's words and not a window. It gives
+    the places at which rows begin, from which the rows are cut."""
     w = words.withColumn("cy", (F.col("y0") + F.col("y1")) / 2)
     item = F.struct("cy", "word_seq", "x0", "y0", "x1", "y1", "text")
     pages = w.groupBy(*PAGE).agg(F.array_sort(F.collect_list(item)).alias("words"))
-    zero = F.struct(F.lit(-1).cast("long").alias("row"), F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n"), F.array().cast("array<bigint>").alias("rows"))
+    zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"), F.lit(0).alias("i"), F.array().cast("array<int>").alias("starts"))
 
     def step(acc, x):
         same = (acc["n"] > 0) & (F.abs(x["cy"] - acc["sum"] / F.greatest(acc["n"], F.lit(1))) <= tolerance)
-        row = F.when(same, acc["row"]).otherwise(acc["row"] + 1)
-        return F.struct(row.alias("row"), F.when(same, acc["sum"] + x["cy"]).otherwise(x["cy"]).alias("sum"), F.when(same, acc["n"] + 1).otherwise(F.lit(1).cast("long")).alias("n"), F.concat(acc["rows"], F.array(row)).alias("rows"))
+        on = F.struct((acc["sum"] + x["cy"]).alias("sum"), (acc["n"] + 1).alias("n"), (acc["i"] + 1).alias("i"), acc["starts"].alias("starts"))
+        return F.when(same, on).otherwise(F.struct(x["cy"].alias("sum"), F.lit(1).alias("n"), (acc["i"] + 1).alias("i"), F.concat(acc["starts"], F.array(acc["i"] + 1)).alias("starts")))
 
-    folded = pages.select(*PAGE, F.explode(F.arrays_zip("words", F.aggregate("words", zero, step)["rows"].alias("rows"))).alias("z"))
-    return folded.select(*PAGE, "z.words.*", F.col("z.rows").alias("row"))
+    folded = pages.select(*PAGE, "words", F.aggregate("words", zero, step)["starts"].alias("starts"))
+    end = lambda i: F.coalesce(F.get("starts", i + 1), F.size("words") + 1)
+    cut = F.transform("starts", lambda s, i: F.struct(i.cast("long").alias("row"), F.slice("words", s, end(i) - s).alias("words")))
+    rows = folded.select(*PAGE, F.explode(cut).alias("r")).select(*PAGE, F.col("r.row").alias("row"), F.explode("r.words").alias("w"))
+    return rows.select(*PAGE, "w.*", "row")
 
 
 def text_cells(rows: DataFrame, gap: float = 8.0) -> DataFrame:
@@ -90,19 +133,20 @@ def column_grid(cells: DataFrame) -> DataFrame:
     """Column boundaries of a page: those rows of at least two cells that have most of them, averaged by place."""
     order = Window.partitionBy(*PAGE, "row").orderBy("cell")
     w = cells.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*PAGE, "row"))).where("n >= 2").withColumn("most", F.max("n").over(Window.partitionBy(*PAGE))).where("n = most")
-    w = w.withColumn("edge", F.when(F.col("cell") == 0, F.col("x0")).otherwise((F.lag("x1").over(order) + F.col("x0")) / 2))
-    ends = w.where("cell = n - 1").select(*PAGE, F.col("n").alias("place"), F.col("x1").alias("edge"))
-    return w.select(*PAGE, F.col("cell").alias("place"), "edge").unionByName(ends).groupBy(*PAGE, "place").agg(F.avg("edge").alias("edge"))
+    edge = F.when(F.col("cell") == 0, F.col("x0")).otherwise((F.lag("x1").over(order) + F.col("x0")) / 2)
+    last = F.when(F.col("cell") == F.col("n") - 1, F.struct(F.col("n").alias("place"), F.col("x1").alias("edge")))
+    edges = F.filter(F.array(F.struct(F.col("cell").alias("place"), edge.alias("edge")), last), lambda e: e.isNotNull())
+    return w.select(*PAGE, edges.alias("edges")).select(*PAGE, F.explode("edges").alias("e")).groupBy(*PAGE, F.col("e.place").alias("place")).agg(F.avg("e.edge").alias("edge"))
 
 
 def row_bounds(rows: DataFrame) -> DataFrame:
     """Row boundaries of a page: the first top, half way between rows, the last bottom."""
     r = rows.groupBy(*PAGE, "row").agg(F.min("y0").alias("y0"), F.max("y1").alias("y1"))
     order = Window.partitionBy(*PAGE).orderBy("row")
-    before = F.lag("y1").over(order)
-    tops = r.select(*PAGE, F.col("row").alias("place"), F.when(before.isNull(), F.col("y0")).otherwise((before + F.col("y0")) / 2).alias("edge"))
-    last = r.groupBy(*PAGE).agg((F.max("row") + 1).alias("place"), F.max_by("y1", "row").alias("edge"))
-    return tops.unionByName(last)
+    top = F.coalesce((F.lag("y1").over(order) + F.col("y0")) / 2, F.col("y0"))
+    last = F.when(F.lead("row").over(order).isNull(), F.struct((F.col("row") + 1).alias("place"), F.col("y1").alias("edge")))
+    edges = F.filter(F.array(F.struct(F.col("row").alias("place"), top.alias("edge")), last), lambda e: e.isNotNull())
+    return r.select(*PAGE, edges.alias("edges")).select(*PAGE, F.explode("edges").alias("e")).select(*PAGE, "e.place", "e.edge")
 
 
 def largest_gap(rows: DataFrame) -> DataFrame:

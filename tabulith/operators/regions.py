@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulith.operators.geometry import PAGE, classify_segments, column_grid, grid_cells, islands, merge_collinear, text_cells, text_rows, trim_bottom
+from tabulith.operators.geometry import PAGE, centred, classify_segments, column_grid, grid_positions, islands, joined_text, merge_collinear, position_cells, row_bottoms, row_bounds, spans_holding, text_cells, text_rows, trim_bottom
+from tabulith.storage import stored
 
 REGION = [*PAGE, "block_seq"]
 #: Points by which a ruling may miss another and still touch it.
@@ -38,9 +39,12 @@ def text_areas(titles: DataFrame) -> DataFrame:
 
 
 def rulings_in(areas: DataFrame, segments: DataFrame) -> DataFrame:
-    """Merged rulings of each area, from the page's segments whose box meets the area."""
-    box = [f(f"p1{a}", f"p2{a}").alias(f"s{a}{i}") for a in "xy" for i, f in enumerate((F.least, F.greatest))]
-    near = areas.select(*REGION, "rx0", "ry0", "rx1", "ry1").join(segments.select("*", *box), PAGE)
+    """Merged rulings of each area, from the page's segments whose drawing's box (dx0, dy0, dx1, dy1) meets the area.
+
+    A drawing that reaches into the area gives all its segments; segments without those columns are drawings of their own."""
+    drawn = {"dx0", "dy0", "dx1", "dy1"} <= set(segments.columns)
+    box = [(F.col(f"d{a}{i}") if drawn else f(f"p1{a}", f"p2{a}")).alias(f"s{a}{i}") for a in "xy" for i, f in enumerate((F.least, F.greatest))]
+    near = areas.select(*REGION, "rx0", "ry0", "rx1", "ry1").join(segments.select(*PAGE, "kind", "p1x", "p1y", "p2x", "p2y", *box), PAGE)
     near = near.where("sx0 <= rx1 and sx1 >= rx0 and sy0 <= ry1 and sy1 >= ry0")
     return merge_collinear(classify_segments(near, per=REGION), per=REGION)
 
@@ -51,47 +55,85 @@ def table_bounds(titles: DataFrame, segments: DataFrame) -> DataFrame:
     The topmost ruling is the table's top; of the verticals that touch it, the nearest on either side
     of the title bound it, or the outermost where a side has none, or the ruling's own ends."""
     lines = rulings_in(corridors(titles), segments)
-    top = lines.where("orientation = 'horizontal'").groupBy(*REGION).agg(F.min_by(F.struct("position", "start", "end"), "position").alias("top"))
-    upright = lines.where("orientation = 'vertical'").select(*REGION, F.col("position").alias("x"), F.col("start").alias("vs"), F.col("end").alias("ve"))
-    ends = titles.select(*REGION, F.col("x0").alias("tx0"), F.col("x1").alias("tx1"), "height")
-    met = top.join(ends, REGION).join(upright, REGION, "left")
-    touches = F.expr(f"vs <= top.position + {TOUCH} and ve >= top.position - {TOUCH} and x between top.start - {TOUCH} and top.end + {TOUCH}")
-    found = met.withColumn("x", F.when(touches, F.col("x"))).groupBy(*REGION, "top", "height").agg(
-        F.max(F.expr(f"case when x < tx0 + {TOUCH} then x end")).alias("left"), F.min(F.expr(f"case when x > tx1 - {TOUCH} then x end")).alias("right"), F.min("x").alias("first"), F.max("x").alias("last"))
-    both = F.col("left").isNotNull() & F.col("right").isNotNull()
-    low, high = F.when(both, F.col("left")).otherwise(F.coalesce("first", "top.start")), F.when(both, F.col("right")).otherwise(F.coalesce("last", "top.end"))
-    return found.select(*REGION, (low - 5).alias("rx0"), (F.col("top.position") - 5).alias("ry0"), (high + 5).alias("rx1"), F.least("height", F.col("top.position") + DEPTH).alias("ry1"))
+    flat, upright = F.col("orientation") == "horizontal", F.col("orientation") == "vertical"
+    whole = F.struct("position", "start", "end")
+    top, ups = F.min_by(whole, F.when(flat, F.col("position"))), F.collect_list(F.when(upright, whole))
+    found = lines.groupBy(*REGION).agg(top.alias("top"), F.count_if(flat).alias("n"), ups.alias("ups")).where("n > 0")
+    t = titles.select(*REGION, F.col("x0").alias("tx0"), F.col("x1").alias("tx1"), "height")
+    y, a, z = F.col("top.position"), F.col("top.start"), F.col("top.end")
+    touching = F.filter("ups", lambda v: (v["start"] <= y + TOUCH) & (v["end"] >= y - TOUCH) & v["position"].between(a - TOUCH, z + TOUCH))
+    met = found.join(t, REGION).withColumn("xs", F.transform(touching, lambda v: v["position"]))
+    left, right = F.array_max(F.filter("xs", lambda x: x < F.col("tx0") + TOUCH)), F.array_min(F.filter("xs", lambda x: x > F.col("tx1") - TOUCH))
+    both = left.isNotNull() & right.isNotNull()
+    low, high = F.when(both, left).otherwise(F.coalesce(F.array_min("xs"), a)), F.when(both, right).otherwise(F.coalesce(F.array_max("xs"), z))
+    return met.select(*REGION, (low - 5).alias("rx0"), (y - 5).alias("ry0"), (high + 5).alias("rx1"), F.least("height", y + DEPTH).alias("ry1"))
+
+
+def ruled_grids(bounds: DataFrame, segments: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of regions(rx0, ry0, rx1, ry1): their areas cut off below the last row of rulings, their grids (ys, xs), their rulings.
+
+    Rulings below the first large gap are left out; an area with fewer than two rows is not cut."""
+    found = stored(rulings_in(bounds, segments), "rulings")
+    areas = bounds.join(row_bottoms(found, per=REGION), REGION, "left").select(*REGION, "rx0", "ry0", "rx1", F.coalesce("bottom", "ry1").alias("ry1"))
+    lines = trim_bottom(found, per=REGION)
+    return areas, grid_positions(lines, REGION), lines
 
 
 def region_grids(bounds: DataFrame, segments: DataFrame) -> DataFrame:
     """Cells of each region's grid, without what lies below its first large gap."""
-    return grid_cells(trim_bottom(rulings_in(bounds, segments), per=REGION), per=REGION)
+    return position_cells(ruled_grids(bounds, segments)[1], REGION)
+
 
+def written_grids(areas: DataFrame, words: DataFrame) -> DataFrame:
+    """Region, ys, xs of the grids that words make in areas: from six words, two rows, three column edges.
 
-def text_grids(areas: DataFrame, words: DataFrame) -> DataFrame:
-    """Region, row_count, col_count of the grids that words make in areas: from six words, two rows, three column edges."""
+    Rows are bounded half way between them, columns by the mean of the rows that have most cells."""
     mid = lambda a: (F.col(f"{a}0") + F.col(f"{a}1")) / 2
     # the row fold and the column grid work by page: here each area is one
     one = F.concat_ws("/", *REGION)
     inside = areas.select(*REGION, "rx0", "ry0", "rx1", "ry1").join(words, PAGE).where(mid("x").between(F.col("rx0"), F.col("rx1")) & mid("y").between(F.col("ry0"), F.col("ry1")))
-    rows = text_rows(inside.select(one.alias("doc_id"), F.lit(1).cast("long").alias("page_no"), "word_seq", "x0", "y0", "x1", "y1", "text"))
-    edges = column_grid(text_cells(rows)).groupBy("doc_id").agg((F.count(F.lit(1)) - 1).alias("col_count"))
-    size = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), (F.max("row") + 1).cast("long").alias("row_count")).where("n >= 6 and row_count >= 2")
-    found = size.join(edges, "doc_id").where("col_count >= 2").select(F.col("doc_id").alias("area"), "row_count", "col_count")
-    return areas.select(*REGION, one.alias("area")).join(found, "area").drop("area")
+    rows = stored(text_rows(inside.select(one.alias("doc_id"), F.lit(1).cast("long").alias("page_no"), "word_seq", "x0", "y0", "x1", "y1", "text")), "rows")
+    ys = F.transform(F.array_sort(F.collect_list(F.struct("place", "edge"))), lambda s: s["edge"])
+    across = column_grid(text_cells(rows)).groupBy("doc_id").agg(F.array_sort(F.collect_list("edge")).alias("xs")).where(F.size("xs") >= 3)
+    down = row_bounds(rows).groupBy("doc_id").agg(ys.alias("ys")).where(F.size("ys") >= 3)
+    enough = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n >= 6").drop("n")
+    found = enough.join(across, "doc_id").join(down, "doc_id").withColumnRenamed("doc_id", "area")
+    return areas.select(*REGION, one.alias("area")).join(found, "area").select(*REGION, "ys", "xs")
+
+
+def near_title(titles: DataFrame, grids: DataFrame, most: float = 1.2) -> DataFrame:
+    """grids(ys, xs) with those columns whose middle is within ``most`` title widths of the title's; without any, none.
+
+    A kept column keeps its right edge; where fewer than three edges are left the grid stays as it is."""
+    t = titles.select(*REGION, ((F.col("x0") + F.col("x1")) / 2).alias("__mid"), (most * (F.col("x1") - F.col("x0"))).alias("__far"))
+    edges = F.transform(F.sequence(F.lit(1), F.size("xs") - 1), lambda i: F.struct(((F.element_at("xs", i) + F.element_at("xs", i + 1)) / 2).alias("mid"), F.element_at("xs", i + 1).alias("right")))
+    near = F.transform(F.filter(edges, lambda e: F.abs(e["mid"] - F.col("__mid")) <= F.col("__far")), lambda e: e["right"])
+    met = grids.join(t, REGION).withColumn("__near", near).where(F.size("__near") > 0)
+    left = F.concat(F.slice("xs", 1, 1), F.col("__near"))
+    return met.withColumn("xs", F.when(F.size("__near") >= 2, left).otherwise(F.col("xs"))).select(*grids.columns)
+
+
+def title_grids(titles: DataFrame, segments: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tables of titles: Region, rx0, ry0, rx1, ry1, source, ys, xs; and the rulings of those areas. Titles without a table are dropped.
+
+    In bounds at least 30 wide, a grid of rulings over two rows or more goes before one of words there, and
+    that before a single row of rulings. Where rulings bound nothing, words below the title make a grid of
+    the columns near it."""
+    bounds = stored(table_bounds(titles, segments).where("rx1 - rx0 >= 30"), "bounds")
+    areas, ruled, lines = ruled_grids(bounds, segments)
+    full = ruled.where(F.size("ys") >= 3)
+    below = text_areas(titles).select(*REGION, "rx0", "ry0", "rx1", "ry1").join(bounds, REGION, "left_anti")
+    written = stored(written_grids(bounds.join(full, REGION, "left_anti").select(below.columns).unionByName(below), words), "written")
+    single = ruled.where(F.size("ys") < 3).join(written, REGION, "left_anti")
+    vector = full.unionByName(single).join(areas, REGION).withColumn("source", F.lit("vector"))
+    loose = written.join(areas, REGION).unionByName(near_title(titles, written.join(below, REGION)))
+    return stored(vector.unionByName(loose.withColumn("source", F.lit("text_clustering"))), "grids"), lines
 
 
 def region_shapes(titles: DataFrame, segments: DataFrame, words: DataFrame) -> DataFrame:
-    """Region, detection_strategy, row_count, col_count of each title's table; titles without one are dropped.
-
-    A grid of rulings over at least two rows, in bounds at least 30 wide, goes before one of words: in the
-    same bounds, or below the title where rulings bound nothing."""
-    bounds = table_bounds(titles, segments).where("rx1 - rx0 >= 30")
-    ruled = region_grids(bounds, segments).groupBy(*REGION).agg((F.max("r") + 1).alias("row_count"), (F.max("c") + 1).alias("col_count")).where("row_count >= 2")
-    rest = titles.join(ruled, REGION, "left_anti")
-    below = text_areas(rest).select(*REGION, "rx0", "ry0", "rx1", "ry1").join(bounds, REGION, "left_anti")
-    written = text_grids(below.unionByName(bounds.join(ruled, REGION, "left_anti")), words)
-    return ruled.withColumn("detection_strategy", F.lit("vector")).unionByName(written.withColumn("detection_strategy", F.lit("text_clustering")))
+    """Region, detection_strategy, row_count, col_count of each title's table, header row included; titles without one are dropped."""
+    grids, _ = title_grids(titles, segments, words)
+    return grids.select(*REGION, (F.size("ys") - 1).cast("long").alias("row_count"), (F.size("xs") - 1).cast("long").alias("col_count"), F.col("source").alias("detection_strategy"))
 
 
 def near_columns(titles: DataFrame, columns: DataFrame, most: float = 1.2) -> DataFrame:
@@ -101,30 +143,39 @@ def near_columns(titles: DataFrame, columns: DataFrame, most: float = 1.2) -> Da
     return titles.join(c, PAGE).where(far <= most * (F.col("x1") - F.col("x0"))).select(*REGION, F.col("c0").alias("x0"), F.col("c1").alias("x1"))
 
 
-def merged_headers(cells: DataFrame, lines: DataFrame, per: list[str] = PAGE) -> DataFrame:
-    """Header cells that hold two columns: no vertical at their divider covers the first row."""
-    head = cells.where("r = 0")
+def merged_headers(cells: DataFrame, lines: DataFrame, per: list[str] = PAGE, header_rows: int = 1) -> DataFrame:
+    """Header cells that hold two columns, and with several header rows those that hold two rows.
+
+    No vertical at their divider covers the header's height, or no horizontal at a divider within the
+    header covers the column. Grids with fewer rows than the header have none."""
+    band = cells.where(F.col("r") < header_rows).groupBy(*per).agg(F.min("y0").alias("y0"), F.max("y1").alias("y1"), F.max("r").alias("last_row")).where(F.col("last_row") == header_rows - 1).drop("last_row")
+    head = cells.where("r = 0").drop("y0", "y1").join(band, per)
     nxt = head.select(*per, (F.col("c") - 1).alias("c"), F.col("x0").alias("divider"), F.col("x1").alias("last"))
-    pairs = head.join(nxt, [*per, "c"]).alias("h")
-    upright = lines.where("orientation = 'vertical'").alias("v")
     same = [F.col(f"h.{k}") == F.col(f"v.{k}") for k in per]
+    upright, flat = (lines.where(F.col("orientation") == o).alias("v") for o in ("vertical", "horizontal"))
     covers = F.expr("abs(v.position - h.divider) <= 2 and v.start <= h.y0 + 1 and v.end >= h.y1 - 1")
-    alone = pairs.join(upright, [*same, covers], "left_anti")
-    return alone.select(*per, (F.col("c") + 1).alias("divider"), "x0", "y0", F.col("last").alias("x1"), "y1", F.lit("horizontal").alias("merge_type"))
+    alone = head.join(nxt, [*per, "c"]).alias("h").join(upright, [*same, covers], "left_anti")
+    out = alone.select(*per, (F.col("c") + 1).alias("divider"), "x0", "y0", F.col("last").alias("x1"), "y1", F.lit("horizontal").alias("merge_type"))
+    if header_rows > 1:
+        rows = cells.where((F.col("r") > 0) & (F.col("r") < header_rows)).select(*per, F.col("r").alias("divider"), "x0", "x1", F.col("y0").alias("y")).join(band, per).alias("h")
+        across = F.expr("abs(v.position - h.y) <= 2 and v.start <= h.x0 + 1 and v.end >= h.x1 - 1")
+        tall = rows.join(flat, [*same, across], "left_anti")
+        out = out.unionByName(tall.select(*per, "divider", "x0", "y0", "x1", "y1", F.lit("vertical").alias("merge_type")))
+    return out
 
 
 def header_cells(words: DataFrame, cells: DataFrame) -> DataFrame:
-    """c and raw_header of page grids; an empty header is read again down to the second row's end."""
-    mid = [((F.col(f"{a}0") + F.col(f"{a}1")) / 2).alias(f"c{a}") for a in "xy"]
-    w = words.select(*PAGE, "word_seq", "text", *mid)
-    second = cells.where("r = 1").select(*PAGE, "c", F.col("y1").alias("far"))
-    head = cells.where("r = 0").join(second, [*PAGE, "c"], "left").select(*PAGE, "c", "x0", "x1", "y0", "y1", "far")
+    """c and raw_header of page grids; an empty header is read again down to the second row's end.
+
+    A word finds its columns in its page's positions, so it meets no other column's header."""
+    second = cells.where("r = 1").groupBy(*PAGE).agg(F.max("y1").alias("far"))
+    grids = cells.where("r = 0").groupBy(*PAGE).agg(F.array_sort(F.array_union(F.collect_set("x0"), F.collect_set("x1"))).alias("xs"), F.min("y0").alias("y0"), F.max("y1").alias("y1")).join(second, PAGE, "left")
     inside, wider = F.expr("cy between y0 and y1"), F.expr("cy between y0 - 3 and far")
-    met = head.join(w, PAGE).where(F.expr("cx between x0 and x1") & (inside | wider))
-    read = lambda ok: F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(ok, F.struct("word_seq", "text")))), lambda s: s["text"]), " "))
-    texts = met.groupBy(*PAGE, "c").agg(read(inside).alias("t"), read(wider).alias("u"))
+    met = centred(words).join(grids, PAGE).where(inside | wider)
+    placed = met.select(*PAGE, "word_seq", "text", inside.alias("inside"), wider.alias("wider"), F.explode(spans_holding(F.col("xs"), F.col("cx"))).alias("c"))
+    texts = placed.groupBy(*PAGE, "c").agg(F.trim(joined_text(F.col("inside"))).alias("t"), F.trim(joined_text(F.col("wider"))).alias("u"))
     raw = F.coalesce(F.nullif("t", F.lit("")), "u", F.lit(""))
-    return head.select(*PAGE, "c").join(texts, [*PAGE, "c"], "left").select(*PAGE, "c", raw.alias("raw_header"))
+    return cells.where("r = 0").select(*PAGE, "c").join(texts, [*PAGE, "c"], "left").select(*PAGE, "c", raw.alias("raw_header"))
 
 
 def header_texts(headers: DataFrame) -> DataFrame:
@@ -211,7 +262,7 @@ def block_regions(blocks: DataFrame, dx: float = 15.0, dy: float = 8.0) -> DataF
 
         return lists.map(one)
 
-    return pages.select(*PAGE, F.explode(unite("boxes")).alias("b")).select(*PAGE, "b.*")
+    return pages.select(*PAGE, F.explode(unite("boxes")).alias("b")).select(*PAGE, "b.x0", "b.y0", "b.x1", "b.y1")
 
 
 def summary(regions: DataFrame) -> DataFrame:

@@ -118,6 +118,12 @@ def grid_search(regions: DataFrame, grid: dict[str, tuple[float, ...]] | None =
     return _with_ratios(counted).orderBy(F.desc(metric), "combo_id")
 
 
+def search_summary(found: DataFrame, regions: DataFrame, metric: str = "accuracy", source_col: str = "doc_id") -> DataFrame:
+    """One row: n_sources (distinct sources of the labelled regions), n_settings, best (the top value of the metric), n_best (settings that reach it)."""
+    top = found.groupBy(F.col(metric).alias("best")).agg(F.count(F.lit(1)).alias("n")).agg(F.max(F.struct("best", "n")).alias("t"), F.sum("n").alias("n_settings"))
+    return top.crossJoin(regions.agg(F.countDistinct(source_col).alias("n_sources"))).select("n_sources", "n_settings", "t.best", F.col("t.n").alias("n_best"))
+
+
 def title_zones(rects: DataFrame, fraction: float = 0.28) -> DataFrame:
     """The largest rectangle of each page that lies mostly in the right margin, the first of equals."""
     edge = F.col("width") * (1 - fraction)

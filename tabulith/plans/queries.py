@@ -41,7 +41,7 @@ def rebar_parse(spark, d):
 
 
 _P = {k: getattr(vocab, k) for k in ("DIAMETER_SPACING", "TYPE_SPACING", "COUNT_DIAMETER", "COUNT_TYPE", "MILLIMETRES")}
-REBAR_SQL = f"""WITH {WITH}, t AS (SELECT doc_id, word_seq, unnest(string_split(text, '+')) AS tok, generate_subscripts(string_split(text, '+'), 1) AS o FROM word WHERE word_seq % 10 IN (1, 2)),
+REBAR_SQL = f"""WITH {WITH}, t AS (SELECT doc_id, word_seq, unnest(string_split(text, '+')) AS tok, generate_subscripts(string_split(text, '+'), 1) AS o FROM word),
 m AS (SELECT *, CASE {' '.join(f"WHEN regexp_matches(tok, '{p}') THEN {i}" for i, p in enumerate(_P.values()))} END AS k FROM t),
 n AS (SELECT *, {', '.join(f"regexp_extract(tok, '{p}', {j}) AS g{i}{j}" for i, p in enumerate(_P.values()) for j in (1, 2))} FROM m WHERE k IS NOT NULL)
 SELECT doc_id, word_seq, row_number() OVER (PARTITION BY doc_id, word_seq ORDER BY o) - 1 AS i,
@@ -62,9 +62,9 @@ RULING = """ruling AS (SELECT doc_id, page_no, CASE WHEN abs(p2y - p1y) < 2 THEN
   FROM segment WHERE kind = 'l' AND sqrt((p2x - p1x) ** 2 + (p2y - p1y) ** 2) >= 5 AND (abs(p2y - p1y) < 2 OR abs(p2x - p1x) < 2))"""
 MERGED = """far AS (SELECT *, CASE WHEN position - lag(position) OVER (PARTITION BY doc_id, page_no, orientation ORDER BY position) > 2 THEN 1 ELSE 0 END AS f FROM ruling),
 isl AS (SELECT *, sum(f) OVER (PARTITION BY doc_id, page_no, orientation ORDER BY position RANGE UNBOUNDED PRECEDING) AS i FROM far),
-merged AS (SELECT doc_id, page_no, orientation, avg(position) AS position, min("start") AS "start", max("end") AS "end" FROM isl GROUP BY doc_id, page_no, orientation, i)"""
-TRIMMED = """nxt AS (SELECT *, lead(position) OVER (PARTITION BY doc_id, page_no ORDER BY position) AS n FROM merged WHERE orientation = 'horizontal'),
-bot AS (SELECT doc_id, page_no, min(position) AS bottom FROM nxt WHERE n - position > 40 GROUP BY ALL),
+merged AS MATERIALIZED (SELECT doc_id, page_no, orientation, avg(position) AS position, min("start") AS "start", max("end") AS "end" FROM isl GROUP BY doc_id, page_no, orientation, i)"""
+TRIMMED = """nxt AS MATERIALIZED (SELECT *, lead(y) OVER (PARTITION BY doc_id, page_no ORDER BY y) AS n FROM (SELECT DISTINCT doc_id, page_no, round_even(position, 1) AS y FROM merged WHERE orientation = 'horizontal') AS k),
+bot AS MATERIALIZED (SELECT doc_id, page_no, coalesce(min(y) FILTER (n - y > 40), max(y)) AS bottom FROM nxt GROUP BY ALL HAVING count(*) >= 2),
 trimmed AS (SELECT m.* FROM merged m LEFT JOIN bot USING (doc_id, page_no) WHERE orientation = 'vertical' OR bottom IS NULL OR position <= bottom + 1)"""
 CELL = """ys AS (SELECT doc_id, page_no, y AS y0, lead(y) OVER w AS y1, row_number() OVER w - 1 AS r FROM (SELECT DISTINCT doc_id, page_no, round_even(position, 1) AS y FROM merged WHERE orientation = 'horizontal') AS a WINDOW w AS (PARTITION BY doc_id, page_no ORDER BY y)),
 xs AS (SELECT doc_id, page_no, x AS x0, lead(x) OVER w AS x1, row_number() OVER w - 1 AS c FROM (SELECT DISTINCT doc_id, page_no, round_even(position, 1) AS x FROM merged WHERE orientation = 'vertical') AS a WINDOW w AS (PARTITION BY doc_id, page_no ORDER BY x)),
@@ -201,6 +201,26 @@ SELECT CAST(combo_id AS BIGINT) AS combo_id, {", ".join(f"CAST({k} AS DOUBLE) AS
   (tp + tn) / (tp + fp + tn + fn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0.0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0) AS f1
 FROM t ORDER BY accuracy DESC, combo_id LIMIT 10"""
 
+def tuning_summary(spark, d):
+    """How many settings of the whole grid tie at the best accuracy, and how many sources that rests on."""
+    regions = _scored_inputs(spark, d)
+    return s.search_summary(s.grid_search(regions), regions)
+
+
+_SEARCHED, _, _LAST = SEARCH_SQL.rpartition("SELECT CAST(combo_id")
+SUMMARY_SQL = f"""{_SEARCHED}SELECT (SELECT count(DISTINCT doc_id) FROM region_in) AS n_sources, count(*) AS n_settings, max(accuracy) AS best, count(*) FILTER (accuracy = top) AS n_best
+FROM (SELECT accuracy, max(accuracy) OVER () AS top FROM (SELECT (tp + tn) / (tp + fp + tn + fn) AS accuracy FROM t) AS a) AS b"""
+
+#: Longest common subsequences by a bit vector over the sorted tokens of a header, one character of a term at a time.
+_SORTED = lambda c: f"array_to_string(list_sort(list_filter(string_split_regex({c}, '\\s+'), lambda x: x <> '')), ' ')"
+TOKEN_SQL = f"""WITH RECURSIVE {WITH}, h AS (SELECT header1 AS header FROM region_in UNION SELECT header2 FROM region_in),
+terms(o, category, term) AS (VALUES {", ".join(f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate((c, t) for c, ts in vocab.ALLOW.items() for t in ts))}),
+pair AS (SELECT *, {_SORTED('header')} AS a, {_SORTED('term')} AS z FROM h CROSS JOIN terms),
+bits AS (SELECT header, o, a, z, 0 AS i, (CAST(1 AS BIGINT) << len(a)) - 1 AS v FROM pair UNION ALL
+  SELECT header, o, a, z, i + 1, ((v + (v & m)) | (v - (v & m))) & ((CAST(1 AS BIGINT) << len(a)) - 1) FROM (SELECT *, CAST(list_sum(list_transform(range(1, len(a) + 1), lambda k: CASE WHEN a[k] = z[i + 1] THEN CAST(1 AS BIGINT) << (k - 1) ELSE 0 END)) AS BIGINT) AS m FROM bits WHERE i < len(z)) AS b),
+scored AS (SELECT header, o, 200e0 * (len(a) - bit_count(v)) / (len(a) + len(z)) AS score FROM bits WHERE i = len(z))
+SELECT header, arg_max(term, [score, -o]) AS term, arg_max(category, [score, -o]) AS category, max(score) AS score FROM scored JOIN terms USING (o) GROUP BY header"""
+
 RECT = f"""SELECT doc_id, page_no, block_seq AS drawing_seq, x0 * (1 + doc_id % 3) AS x0, y0, x1 * (1 + doc_id % 3) AS x1, y1 + block_seq * 10 AS y1, 800e0 AS width FROM ({b.BLOCK}) AS k"""
 
 
@@ -282,7 +302,7 @@ SELECT doc_id, page_no, CAST("row" AS BIGINT) AS place, coalesce((lag(y1) OVER (
 UNION ALL SELECT doc_id, page_no, CAST(max("row") + 1 AS BIGINT), arg_max(y1, "row") FROM r GROUP BY doc_id, page_no"""),
     "largest_gap_split": (largest_gap_split, GAP_SQL),
     "header_exact": (header_exact, HEADER_SQL),
-    "token_sort_match": (token_sort_match, None),
+    "token_sort_match": (token_sort_match, TOKEN_SQL),
     "title_zone": (title_zone, ZONE_SQL),
     "nearby_title": (nearby_title, NEARBY_SQL),
     "uncovered_blocks": (uncovered_blocks, UNCOVERED_SQL),
@@ -290,5 +310,6 @@ UNION ALL SELECT doc_id, page_no, CAST(max("row") + 1 AS BIGINT), arg_max(y1, "r
     "score_metrics": (score_metrics, METRICS_SQL),
     "tuning_grid_top": (tuning_grid_top, TUNING_SQL),
     "tuning_grid_search": (tuning_grid_search, SEARCH_SQL),
+    "tuning_summary": (tuning_summary, SUMMARY_SQL),
     "presentation_rows": (presentation_rows, PRESENTATION_SQL),
 }

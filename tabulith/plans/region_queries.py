@@ -64,8 +64,8 @@ def region_grid(spark, d):
 
 
 INNER = f"""{_inside('bounds', 'inner_line')},
-inner_next AS (SELECT *, lead(position) OVER (PARTITION BY {K} ORDER BY position) AS n FROM inner_line WHERE orientation = 'horizontal'),
-inner_end AS (SELECT {K}, min(position) AS e FROM inner_next WHERE n - position > 40 GROUP BY {K}),
+inner_next AS (SELECT *, lead(y) OVER (PARTITION BY {K} ORDER BY y) AS n FROM (SELECT DISTINCT {K}, round_even(position, 1) AS y FROM inner_line WHERE orientation = 'horizontal') AS k),
+inner_end AS (SELECT {K}, coalesce(min(y) FILTER (n - y > 40), max(y)) AS e FROM inner_next GROUP BY {K} HAVING count(*) >= 2),
 shape AS (SELECT {K}, count(DISTINCT round_even(position, 1)) FILTER (orientation = 'horizontal' AND (e IS NULL OR position <= e + 1)) - 1 AS row_count, count(DISTINCT round_even(position, 1)) FILTER (orientation = 'vertical') - 1 AS col_count
   FROM inner_line LEFT JOIN inner_end USING ({K}) GROUP BY {K})"""
 

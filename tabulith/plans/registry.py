@@ -2,8 +2,9 @@
 
 from tabulith.plans import queries as pages
 from tabulith.plans import region_queries as regions
+from tabulith.plans import table_queries as tables
 
-QUERIES = pages.QUERIES | regions.QUERIES
+QUERIES = pages.QUERIES | regions.QUERIES | tables.QUERIES
 
 
 def queries() -> dict:
