@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulith.operators.geometry import PAGE, centred, classify_segments, column_grid, grid_positions, islands, joined_text, merge_collinear, position_cells, row_bottoms, row_bounds, spans_holding, text_cells, text_rows, trim_bottom
-from tabulith.storage import stored
+from tabulith.storage import importable, stored
 
 REGION = [*PAGE, "block_seq"]
 #: Points by which a ruling may miss another and still touch it.
@@ -251,6 +251,7 @@ def joined_boxes(boxes: list[tuple[float, ...]], dx: float, dy: float) -> list[t
 
 def block_regions(blocks: DataFrame, dx: float = 15.0, dy: float = 8.0) -> DataFrame:
     """Text blocks of a page joined to regions of at least 30 by 15, in block order."""
+    importable(blocks.sparkSession)
     box = F.struct("block_seq", "x0", "y0", "x1", "y1")
     pages = blocks.where("block_type = 0").groupBy(*PAGE).agg(F.array_sort(F.collect_list(box)).alias("boxes"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabulith.functions import vocab
 from tabulith.functions.text import normalised, title_type, token_sort_ratio
 from tabulith.functions.words import best_alias
+from tabulith.storage import importable
 
 REGION = ["doc_id", "region_index"]
 
@@ -34,6 +35,7 @@ def header_fields_fuzzy(headers: DataFrame) -> DataFrame:
     """headers(raw_header) with canonical_field by alias, or by the best alias that is near enough.
 
     Each distinct header is matched once; the literal aliases travel with the function."""
+    importable(headers.sparkSession)
     aliases: dict[str, str] = {}
     for field, names in vocab.HEADER_ALIASES.items():
         for a in names:

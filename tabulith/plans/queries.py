@@ -255,13 +255,13 @@ def presentation_rows(spark, d):
     r = b.relation(spark, d, b.REGION)
     h = r.select("doc_id", "region_index", F.posexplode(F.array("header1", "header2")).alias("i", "raw_header"))
     named = s.header_fields(h)
-    return named.select("doc_id", F.col("i").cast("long").alias("i"), humanised(F.coalesce("canonical_field", snake_case(F.col("raw_header")))).alias("name"), F.nullif(F.trim("raw_header"), F.lit("xyzzy")).alias("value"))
+    return named.select("doc_id", F.col("i").cast("long").alias("i"), humanised(F.coalesce("canonical_field", snake_case(F.col("raw_header")))).alias("name"), F.nullif(F.trim("raw_header"), F.lit("")).alias("value"))
 
 
 PRESENTATION_SQL = f"""WITH {WITH}, h AS (SELECT doc_id, 0 AS i, header1 AS raw_header FROM region_in UNION ALL SELECT doc_id, 1, header2 FROM region_in),
 n AS (SELECT doc_id, CAST(i AS BIGINT) AS i, raw_header, coalesce(f, regexp_replace(regexp_replace(lower(trim(raw_header)), '[^a-z0-9\\s]', '', 'g'), '\\s+', '_', 'g')) AS name
   FROM h LEFT JOIN (VALUES {ALIAS_VALUES}) AS a(alias, f) ON lower(regexp_replace(trim(raw_header), '\\s+', ' ', 'g')) = alias)
-SELECT doc_id, i, array_to_string(list_transform(string_split(replace(name, '_', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name, nullif(trim(raw_header), 'xyzzy') AS value FROM n"""
+SELECT doc_id, i, array_to_string(list_transform(string_split(replace(name, '_', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name, nullif(trim(raw_header), '') AS value FROM n"""
 
 
 def full_extract(spark, d):

@@ -19,6 +19,8 @@ from urllib.parse import unquote, urlparse
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tabulith.storage import importable
+
 _BOX = "x0 double, y0 double, x1 double, y1 double"
 RELATIONS = {
     "page": "doc_id string, page_no long, width double, height double",
@@ -93,5 +95,6 @@ class LayoutSource(DataSource):
 
 def read_layout(spark: SparkSession, path: str, *relations: str, **options: str) -> list:
     """Relations of the files in a folder, or of one file."""
+    importable(spark)
     spark.dataSource.register(LayoutSource)
     return [spark.read.format("layout").options(relation=x, **options).load(path) for x in relations]

@@ -1,8 +1,11 @@
-"""Intermediate tables in the session's shared folder: computed once, read again by several branches of a plan."""
+"""Intermediate tables in the session's shared folder: computed once, read again by several branches of a plan.
+
+Also what Python workers need to find this package."""
 
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +28,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/tabulith/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it; called before one is used."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(x for x in (root, env.get("PYTHONPATH", "")) if x)
