@@ -210,7 +210,6 @@ QUERIES = {
     "text_area": (lambda x, d: r.text_areas(_titles(x, d, False)).select(*AREA), f"{W}, {CORRIDOR}, {_inside('area', 'line')}, {STEPS.split(',' + chr(10) + 'reach')[0]} SELECT * FROM area2"),
     "table_bounds": (_bounds, f"{W}, {BOUNDS} SELECT * FROM bounds"),
     "region_grid": (region_grid, f"{W}, {BOUNDS}, {INNER} SELECT * FROM shape WHERE row_count >= 1 AND col_count >= 1"),
-    "region_shapes": (region_shapes, None),
     "region_precedence": (region_precedence, f"{RW}, {BOUNDS}, {STEPS} SELECT doc_id, page_no, unnest(kept).s AS block_seq FROM fin"),
     "column_proximity": (column_proximity, PROXIMITY_SQL),
     "merged_headers": (merged_headers, MERGED_SQL),
