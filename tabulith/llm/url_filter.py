@@ -49,8 +49,10 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
 
 
 def node(url: Column) -> Column:
-    """The url by which pages are tied: as given, without its fragment."""
-    return F.regexp_replace(url, r"(?s)#.*$", "")
+    """The url by which pages are tied: without its fragment, A-Z of scheme and host lower-cased."""
+    u = F.regexp_replace(url, r"(?s)#.*$", "")
+    site = F.regexp_extract(u, r"^[^/?#]*://[^/?#]*", 0)
+    return F.concat(F.translate(site, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.substring(u, F.length(site) + 1, F.length(u)))
 
 
 def _without_dots(path: Column) -> Column:
@@ -115,15 +117,24 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = r"""
-WITH RECURSIVE u AS (SELECT page_id, url AS full_url, regexp_replace(url, '(?s)#.*$', '') AS node, html FROM pages),
-tags AS (SELECT node, unnest([
-           regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*?\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-           regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*?\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\bcontent\s*=\s*["'']?[^"''>]*?\burl\s*=\s*[''"]?([^"''\s>]+)', 1)]) AS target FROM u),
-e AS (SELECT node AS a, regexp_replace(replace(target, '&amp;', '&'), '(?s)#.*$', '') AS b FROM tags WHERE contains(target, '://')),
+WITH RECURSIVE u AS (SELECT page_id, url AS full_url, regexp_replace(url, '(?s)#.*$', '') AS bare, html FROM pages),
+n0 AS (SELECT *, translate(regexp_extract(bare, '^[^/?#]*://[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || substr(bare, length(regexp_extract(bare, '^[^/?#]*://[^/?#]*')) + 1) AS node FROM u),
+tags AS (SELECT DISTINCT node, unnest(list_concat(
+           list_transform(regexp_extract_all(html, '(?is)<link\b[^>]*?\brel\s*=\s*["'']?canonical\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+           list_transform(regexp_extract_all(html, '(?is)<meta\b[^>]*?\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\bcontent\s*=\s*["'']?[^"''>]*?\burl\s*=\s*[''"]?([^"''\s>]+)', 1)))) AS raw FROM n0),
+part AS (SELECT node, replace(raw, '&amp;', '&') AS t, regexp_extract(node, '(?s)^([A-Za-z][A-Za-z0-9+.-]*:)//', 1) AS scheme, regexp_extract(node, '(?s)^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS site,
+           regexp_extract(node, '(?s)^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS own, regexp_extract(replace(raw, '&amp;', '&'), '(?s)^([^?#]*)', 1) AS path, regexp_extract(replace(raw, '&amp;', '&'), '(?s)^[^?#]*(.*)$', 1) AS rest FROM tags),
+full_path AS (SELECT *, CASE WHEN starts_with(path, '/') THEN path ELSE CASE WHEN own = '' THEN '/' ELSE regexp_extract(own, '(?s)^(.*/)', 1) END || path END AS p FROM part),
+plain AS (SELECT *, list_reduce(list_prepend('', string_split(p, '/')[2:]), lambda done, x: CASE WHEN x = '..' THEN regexp_replace(done, '/[^/]*$', '') WHEN x = '.' THEN done ELSE done || '/' || x END) AS q, string_split(p, '/')[-1] IN ('.', '..') AS dots FROM full_path),
+target AS (SELECT node, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') OR site = '' OR t = '' THEN NULL WHEN starts_with(t, '//') THEN scheme || t
+           WHEN path = '' AND NOT starts_with(t, '/') THEN CASE WHEN starts_with(t, '#') THEN node ELSE site || own || rest END
+           ELSE site || CASE WHEN q = '' THEN '/' WHEN dots THEN q || '/' ELSE q END || rest END AS target FROM plain),
+bare AS (SELECT node, regexp_replace(target, '(?s)#.*$', '') AS b FROM target WHERE target IS NOT NULL),
+e AS (SELECT node AS a, translate(regexp_extract(b, '^[^/?#]*://[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || substr(b, length(regexp_extract(b, '^[^/?#]*://[^/?#]*')) + 1) AS b FROM bare),
 tied AS (SELECT DISTINCT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
 reach AS (SELECT a AS node, a AS other FROM tied UNION SELECT r.node, x.b FROM reach r JOIN tied x ON r.other = x.a),
 nodes AS (SELECT node, min(other) AS component FROM reach GROUP BY node),
-urls AS (SELECT node AS url FROM nodes UNION SELECT full_url FROM u WHERE full_url IS NOT NULL),
+urls AS (SELECT node AS url FROM nodes UNION SELECT full_url FROM n0 WHERE full_url IS NOT NULL),
 rest AS (SELECT url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM urls),
 p AS (SELECT url, translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM rest),
@@ -137,5 +148,5 @@ c AS (SELECT component, bool_or(ruled = 'block') AND NOT coalesce(bool_or(ruled
       FROM nodes JOIN v ON v.url = nodes.node GROUP BY component)
 SELECT u.page_id, coalesce(v.host, '') AS host, coalesce(v.path, '') AS path, v.rule,
        coalesce(v.ruled, CASE WHEN c.carried THEN 'block' END, 'allow') AS verdict, n.component AS alias_of
-FROM u LEFT JOIN v ON v.url = u.full_url LEFT JOIN nodes n ON n.node = u.node LEFT JOIN c ON c.component = n.component
+FROM n0 u LEFT JOIN v ON v.url = u.full_url LEFT JOIN nodes n ON n.node = u.node LEFT JOIN c ON c.component = n.component
 """

@@ -629,3 +629,82 @@ def test_pipeline(spark):
         docs = stage(spark, docs, str(DATA / "sf0.001"))
         assert docs.columns == columns and docs.count() > 0, name
     assert corpus_pipeline.run(spark, str(DATA / "sf0.001")).where("decoded is null or n_tokens = 0").count() == 0
+
+
+def _pipeline_by_hand(rows, columns):
+    """(doc_id, lang, source, ids, decoded) of documents by all five stages written out over lists; rows: tuples by columns."""
+    docs = [dict(zip(columns, r, strict=True)) for r in rows]
+    learned = [(d["text"], d["lang"]) for d in docs if d["text"] is not None and d["lang"] is not None]
+    told = {t: _language_by_hand(learned, t) for t in {d["text"] or "" for d in docs}}
+    docs = [d for d in docs if told[d["text"] or ""][0] != "und" and told[d["text"] or ""][1] >= 0.4]
+    best: dict = {}
+    for d in docs:
+        key = re.sub(r"[\x20\x09-\x0D]", "", d["text"])
+        rank = (-len(d["text"]), d["doc_id"] is None, d["doc_id"] or 0)
+        if key not in best or rank < best[key][0]:
+            best[key] = (rank, d)
+    docs = [d for _, d in best.values()]
+    sets = []
+    for d in docs:
+        w = d["text"].encode().lower().split()
+        sets.append({tuple(w)} if len(w) <= 5 else set(zip(*(w[i:] for i in range(5)), strict=False)))
+    links = [(i, j) for i in range(len(docs)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    of = joined(range(len(docs)), links)
+    docs = [min((d for i, d in enumerate(docs) if of[i] == c), key=lambda d: d["doc_id"]) for c in set(of.values())]
+    size = Counter()
+    for d in docs:
+        size[d["source"]] += len(WORD.findall(d["text"]))
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    weight, target, left = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}, {}, sum(size.values())
+    while True:  # those above their limit stop there, and the rest is shared anew
+        rest = [s for s in order if s not in target]
+        over = [s for s in rest if left * weight[s] / sum(weight[x] for x in rest) > 3 * size[s]]
+        if not over:
+            target |= {s: left * weight[s] / sum(weight[x] for x in rest) for s in rest}
+            break
+        target |= {s: 3.0 * size[s] for s in over}
+        left = sum(size.values()) - sum(target.values())
+        if len(target) == len(order):
+            break
+    library, out = bpe.tokenizer(bpe.default_file()), []
+    for d in docs:
+        rate = target[d["source"]] / size[d["source"]]
+        coin = int(hashlib.md5(f"7:{d['doc_id']}:{hashlib.md5(d['text'].encode()).hexdigest()}".encode()).hexdigest()[:13], 16) * 2.0**-52
+        ids = library.encode(d["text"], add_special_tokens=False).ids
+        out += [(d["doc_id"], d["lang"], d["source"], ids, library.decode(ids, skip_special_tokens=False))] * (int(rate) + (coin < rate - int(rate)))
+    return out
+
+
+def test_pipeline_by_hand(spark, tmp_path):
+    """All five stages over a small corpus of two invented languages with exact and near copies, junk and nulls."""
+    import corpus_pipeline
+    import pyarrow.parquet as pq
+
+    rng = random.Random(21)
+    letters = {"aa": "abcdeé", "bb": "uvwxyzß"}
+    word = lambda lang: "".join(rng.choices(letters[lang], k=rng.randint(2, 7)))
+    rows, texts = [], []
+    for i in range(60):
+        lang = ("aa", "bb")[i % 2]
+        kind = i % 6 if texts else 0
+        if kind == 1:  # near: one or two words of about a hundred differ
+            w = rng.choice(texts)[1].split(" ")
+            for _ in range(rng.choice([1, 1, 2, 4, 9])):
+                w[rng.randrange(len(w))] = word(lang)
+            lang, text = None, " ".join(w)
+        elif kind == 2:  # equal but for white space
+            lang, text = rng.choice(texts)
+            text = text.replace(" ", "  ", rng.randint(0, 3)) + rng.choice(["", "\n"])
+        elif kind == 3 and i % 4 == 1:
+            text = rng.choice([None, "", "123 456 !!", "\n \t"])
+        else:
+            text = " ".join(word(lang) for _ in range(rng.randint(60, 130)))
+            texts.append((lang, text))
+        rows.append((i, text, lang if i % 5 else None, rng.choice(["web", "web", "web", "books", None]), i))
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64()]
+    pq.write_table(pa.table({c: pa.array([r[k] for r in rows], kind) for k, (c, kind) in enumerate(zip(columns, kinds, strict=True))}), tmp_path / "documents.parquet")
+    want = _pipeline_by_hand(rows, columns)
+    got = [(r.doc_id, r.lang, r.source, np.frombuffer(r.ids, "<u4").tolist(), r.decoded) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    same(got, want)
+    assert 10 < len({x[0] for x in want}) < 50 and len(want) > len({x[0] for x in want})
