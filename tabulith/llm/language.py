@@ -187,7 +187,11 @@ def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
 
 def accept(docs: DataFrame, least_score: float = 0.4, **columns) -> DataFrame:
     """The rows of docs, with all their columns, in a recognised language that makes up at least
-    least_score of the text; learned from those rows themselves that name a language."""
+    least_score of the text; learned from those rows themselves that name a language.
+
+    Null texts, those without a letter, and all rows where none names a language are left out; rows
+    alike stay or go together; an empty table gives no rows.
+    """
     found = identify(docs, learn(docs, **columns), {"__tl_row": F.struct(*(docs[c] for c in docs.columns))})
     good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
     return good.select("__tl_row.*")

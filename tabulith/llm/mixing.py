@@ -69,7 +69,11 @@ def rated(docs: DataFrame, seed: int = 7, weights: Sequence[float] = WEIGHTS, mo
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, each as often as its source's rate says, with all their columns."""
+    """The rows of docs, each as often as its source's rate says, with all their columns.
+
+    Rows of sources without a word are left out, null texts of others are taken at their source's rate;
+    rows alike in id and text come alike often; an empty table gives no rows.
+    """
     out = rated(docs, carry=docs.columns, **options)
     each = F.explode(F.when(F.col("__tl_copies") > 0, F.sequence(F.lit(1), F.col("__tl_copies"))))
     return out.select(*(F.col(f"`{c}`") for c in docs.columns), each.alias("__tl_copy")).drop("__tl_copy")
