@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tabulith.llm import bpe, dac, exact_dedup, language, lm_score, mixing, quality, secret_scan, simhash, url_filter
+from tabulith.llm import bpe, dac, exact_dedup, filter_audit, html_text, language, lm_score, mixing, quality, secret_scan, simhash, spelling, url_filter
 
 
 def queries() -> dict:
@@ -18,6 +18,9 @@ def queries() -> dict:
         "op8_language_id": language.op8_language_id,
         "op9_url_filter": url_filter.op9_url_filter,
         "op10_simhash": simhash.op10_simhash,
+        "op11_spelling_variants": spelling.op11_spelling_variants,
+        "op12_html_text": html_text.op12_html_text,
+        "op13_filter_audit": filter_audit.op13_filter_audit,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -27,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_dedup": exact_dedup.OP6_SQL,
         "op7_mixing": mixing.OP7_SQL,
         "op9_url_filter": url_filter.OP9_SQL,
+        "op13_filter_audit": filter_audit.OP13_SQL,
     }
