@@ -94,7 +94,7 @@ def _joined_runs(found: DataFrame) -> DataFrame:
 
 
 def counters(failed: DataFrame, labels: DataFrame) -> DataFrame:
-    """(part, mask, n, good, toxic): documents by mask, those that any label calls good, and toxic. Counters add up."""
+    """(part, mask, n, good, toxic): documents by mask, those that any label calls good, and toxic. Rows without an id have no labels. Counters add up."""
     told = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max((F.col("quality") == 1).cast("int")).alias("g"), F.max((F.col("toxic") == 1).cast("int")).alias("t"))
     met = failed.join(told, "doc_id", "left")
     return met.groupBy("part", "mask").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("g", F.lit(0))).cast("long").alias("good"), F.sum(F.coalesce("t", F.lit(0))).cast("long").alias("toxic"))

@@ -45,16 +45,23 @@ REST = re.compile(r"""(?:[^>=]|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>""")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 COMMAS = re.compile("[,،、，﹐]")
+#: Elements nest no deeper, as in browsers: those further in stand beside one another.
+DEEPEST = 512
+#: Elements that are paragraphs themselves; the element around them has their points whole.
+PARAGRAPHS = set("p pre li td th dd dt blockquote".split())
+#: Elements that are menus when most of their text is links.
+BOXES = set("ul ol div section table".split())
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "out", "base", "score", "size", "link_size", "holds_main")
+    __slots__ = ("tag", "parent", "children", "out", "base", "passed", "size", "link_size", "holds_main", "kept")
 
     def __init__(self, tag: str, parent: Element | None, out: bool, base: float):
         self.tag, self.parent, self.out, self.base = tag, parent, out, base
         #: elements, and texts with whether they stand in a link
         self.children: list[Element | tuple[str, bool]] = []
-        self.score, self.size, self.link_size, self.holds_main = 0.0, 0, 0, False
+        self.passed, self.size, self.link_size = 0.0, 0, 0
+        self.holds_main = self.kept = False
 
 
 def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -99,22 +106,22 @@ def _by_name(tag: str, rest: str, in_main: bool) -> tuple[bool, float]:
 def tree(page: str) -> Element:
     """The page's elements under a root; inline elements are no nodes, a link marks its text."""
     root = now = Element("", None, False, 0.0)
-    links, mains = 0, 0
+    links, mains, depth = 0, 0, 0
 
     def leave(upto: Element) -> None:
-        nonlocal now, mains
+        nonlocal now, mains, depth
         while now is not upto:
             mains -= now.tag in ("article", "main")
+            depth -= 1
             now = now.parent
 
     def close(tags: set[str], stop: set[str]) -> None:
-        e, last = now, None
+        e = now
         while e.parent is not None and e.tag not in stop:
+            up = e.parent
             if e.tag in tags:
-                last = e
-            e = e.parent
-        if last is not None:
-            leave(last.parent)
+                leave(up)
+            e = up
 
     for kind, value, rest in _tokens(page):
         if kind == "text":
@@ -144,9 +151,11 @@ def tree(page: str) -> Element:
                 while e is not None and not e.holds_main:
                     e.holds_main = True
                     e = e.parent
+            if depth == DEEPEST:
+                leave(now.parent)
             e = Element(value, now, out, base)
             now.children.append(e)
-            now = e
+            now, depth = e, depth + 1
             mains += value in ("article", "main")
         elif value == "a":
             links = 0
@@ -159,9 +168,10 @@ def tree(page: str) -> Element:
     return root
 
 
-def blocks(e: Element, strict: bool) -> Iterator[tuple[Element, str, int]]:
-    """(element, text, length of its links) for each block of text in page order; white space is one space."""
-    todo: list[tuple[Element, Iterator]] = [(e, iter(e.children))]
+def blocks(root: Element, strict: bool) -> Iterator[tuple[Element, str | None, int]]:
+    """(element, text, length of its links) for each block of text in page order; white space is one space. An element
+    comes once without a text before all that is in it."""
+    todo: list[tuple[Element, Iterator]] = []
     run: list[tuple[str, bool]] = []
 
     def cut(of: Element) -> Iterator[tuple[Element, str, int]]:
@@ -170,20 +180,24 @@ def blocks(e: Element, strict: bool) -> Iterator[tuple[Element, str, int]]:
             yield of, text, len(" ".join(html.unescape("".join(t for t, link in run if link)).split()))
         run.clear()
 
-    while todo:
-        of, rest = todo[-1]
-        child = next(rest, None)
+    child: Element | tuple | None = root
+    while True:
         if child is None:
-            yield from cut(of)
+            yield from cut(todo[-1][0])
             todo.pop()
         elif isinstance(child, tuple):
             run.append(child)
         elif child.out and not (child.holds_main and child.tag not in RAW) and (strict or child.tag in OUT):
             if child.tag in BLOCKS:
-                yield from cut(of)
+                yield from cut(child.parent)
         else:
-            yield from cut(of)
+            if todo:
+                yield from cut(child.parent)
+            yield child, None, 0
             todo.append((child, iter(child.children)))
+        if not todo:
+            return
+        child = next(todo[-1][1], None)
 
 
 def _density(e: Element) -> float:
@@ -192,52 +206,43 @@ def _density(e: Element) -> float:
 
 def _kept(root: Element, strict: bool) -> list[str]:
     """Texts of the best container and its kept siblings; none if no block has text."""
-    scored: list[Element] = []
-    for of, text, links in blocks(root, strict):
-        points = 1.0 + len(COMMAS.findall(text)) + min(len(text) / 100.0, 3.0)
-        paragraph, e, step = of.tag not in HEADINGS, of, 0
-        while e is not None:
-            if not e.size:
-                scored.append(e)
-            e.size += len(text)
-            e.link_size += links
-            # a paragraph's own element has no points of it, unless it is no paragraph but a box with text of its own
-            up = step if of.tag in ("p", "pre", "li", "td", "th", "dd", "dt", "blockquote") else step + 1
-            if up and paragraph:
-                e.score += points / (1 if up == 1 else 2 if up == 2 else 3 * (up - 1))
-            e, step = e.parent, step + 1
+    elements: list[Element] = []
+    for e, text, links in blocks(root, strict):
+        if text is None:
+            elements.append(e)
+            continue
+        e.size += len(text)
+        e.link_size += links
+        if e.tag not in HEADINGS:
+            points = 1.0 + len(COMMAS.findall(text)) + min(len(text) / 100.0, 3.0)
+            # a box's own text counts for the box; that of a paragraph twice what it passes on, for the element around it
+            e.passed += 2 * points if e.tag in PARAGRAPHS else points
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.size += e.size
+            e.parent.link_size += e.link_size
+            e.parent.passed += e.passed / 2
+    scored = [e for e in elements if e.size]
     if not scored:
         return []
-    points = {id(e): (e.score + e.base) * (1.0 - _density(e)) for e in scored}
-    best = max(scored, key=lambda e: points[id(e)])
-    # an element with nothing beside it says no more than the one around it
-    while best.parent is not None and best.tag in ("p", "li", "td", "th", "dd", "dt", *HEADINGS):
-        best = best.parent
-    keep, enough = {id(best)}, max(10.0, 0.2 * points[id(best)])
+    points = {id(e): (e.passed + e.base) * (1.0 - _density(e)) for e in scored}
+    whole = [e for e in scored if e.tag not in PARAGRAPHS and e.tag not in HEADINGS] or scored
+    best = max(whole, key=lambda e: points[id(e)])
+    best.kept, enough = True, max(10.0, 0.2 * points[id(best)])
     for s in best.parent.children if best.parent is not None else ():
-        if isinstance(s, Element) and s is not best and id(s) in points:
-            dense = _density(s)
-            paragraph = s.tag == "p" and (s.size > 80 and dense < 0.25 or dense == 0 and s.size > 0)
-            if points[id(s)] >= enough or paragraph or s.tag in HEADINGS:
-                keep.add(id(s))
-    out = []
-    for of, text, _ in blocks(root, strict):
-        e = of
+        if isinstance(s, Element) and id(s) in points:
+            paragraph = s.tag == "p" and _density(s) < (0.25 if s.size > 80 else 1e-9)
+            s.kept |= points[id(s)] >= enough or paragraph or s.tag in HEADINGS
+    for e in elements:
         # a list or box that is mostly links is a menu without a name
-        while e is not None and id(e) not in keep and not (e.tag in ("ul", "ol", "div", "section", "table") and _density(e) > 0.5):
-            e = e.parent
-        if e is not None and id(e) in keep:
-            out.append(text)
-    return out
+        e.kept |= e.parent is not None and e.parent.kept and not (e.tag in BOXES and _density(e) > 0.5)
+    return [text for e, text, _ in blocks(root, strict) if text is not None and e.kept]
 
 
 def main_text(page: str) -> str:
     """Blocks of the article, a line end between them; where names leave nothing, only tags count."""
     root = tree(page.replace("\0", ""))
-    kept = _kept(root, True)
-    if not kept:
-        kept = _kept(root, False)
-    return "\n".join(kept)
+    return "\n".join(_kept(root, True) or _kept(root, False))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
