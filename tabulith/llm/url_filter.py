@@ -18,10 +18,12 @@ from tabulith.llm.work import stash
 
 #: (host, path prefix, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-LINK_TAG = r"(?is)<link\b[^>]*?\brel\s*=\s*[\"']?canonical\b[^>]*>"
-META_TAG = r"(?is)<meta\b[^>]*?\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?is)\bcontent\s*=\s*[\"']?[^\"'>]*?\burl\s*=\s*['\"]?([^\"'\s>]+)"
+#: A whole tag ends at the next bracket, so a page is read once; one with a bracket in an attribute before its end is no tag.
+TAG = r"(?i)<(?:link|meta)\b[^<>]*>"
+HREF = r"(?i)[\s\"'/]href\s*=\s*[\"']?([^\"'\s>]+)"
+#: A value in quotes or up to white space, then the target in it.
+CONTENT = r"(?i)[\s\"'/]content\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*)"
+TARGET = r"(?i)\burl\s*=\s*['\"]?([^\"'\s>]+)"
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -80,12 +82,20 @@ def resolved(target: Column, page: Column) -> Column:
     )
 
 
+def _holds(name: str, attribute: str, value: str) -> Column:
+    """Whether a tag has that name and an attribute that begins with that word."""
+    return F.rlike("tag", F.lit(rf"(?i)^<{name}\b")) & F.rlike("tag", F.lit(rf"(?i)[\s\"'/]{attribute}\s*=\s*[\"']?{value}\b"))
+
+
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """edges(a, b) from all canonical links and meta refreshes of a page; relative targets count from its url."""
+    """edges(a, b) from all canonical links and meta refreshes of a page; relative targets count from its url.
+
+    Time is in proportion to the page, however malformed: whole tags are cut out first, then looked into."""
     html = pages[html_col]
-    every = lambda tag, inner: F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, inner, 1))
     some = pages.where(F.contains(F.lower(html), F.lit("canonical")) | F.contains(F.lower(html), F.lit("refresh")))
-    ties = some.select(node(pages[url_col]).alias("a"), F.explode(F.array_distinct(F.concat(every(LINK_TAG, HREF), every(META_TAG, REFRESH)))).alias("b"))
+    tags = some.select(node(pages[url_col]).alias("a"), F.explode(F.regexp_extract_all(html, F.lit(TAG), F.lit(0))).alias("tag"))
+    target = F.when(_holds("link", "rel", "canonical"), F.regexp_extract("tag", HREF, 1)).when(_holds("meta", "http-equiv", "refresh"), F.regexp_extract(F.regexp_extract("tag", CONTENT, 1), TARGET, 1))
+    ties = tags.select("a", target.alias("b")).where("b is not null")
     ties = ties.select("a", resolved(F.replace("b", F.lit("&amp;"), F.lit("&")), F.col("a")).alias("b"))
     return ties.where("b is not null").select("a", node(F.col("b")).alias("b"))
 
@@ -106,7 +116,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, redir
     of_class = judged.groupBy("component").agg(F.max((F.col("v") == "allow").cast("int")).alias("any_allow"), F.max((F.col("v") == "block").cast("int")).alias("any_block"))
     carried = classes.join(of_class, "component").select(F.col("node").alias("__node"), F.col("component").alias("alias_of"), F.when((F.col("any_block") == 1) & (F.coalesce("any_allow", F.lit(0)) == 0), "block").alias("carried"))
     host, path = host_path(pages[url_col])
-    base = pages.select(pages[id_col].alias("page_id"), node(pages[url_col]).alias("__url"), host.alias("host"), path.alias("path"))
+    # pages without a url meet nothing: a key of their own keeps them from one task
+    key = F.coalesce(node(pages[url_col]), F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string")))
+    base = pages.select(pages[id_col].alias("page_id"), key.alias("__url"), host.alias("host"), path.alias("path"))
     base = base.withColumn("r", rule_for(F.col("host"), F.col("path"), rules))
     out = base.join(carried, F.col("__url") == F.col("__node"), "left")
     return out.select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", "carried", F.lit("allow")).alias("verdict"), "alias_of")
@@ -119,9 +131,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 WITH RECURSIVE u AS (SELECT page_id, url AS full_url, regexp_replace(url, '(?s)#.*$', '') AS bare, html FROM pages),
 n0 AS (SELECT *, translate(regexp_extract(bare, '^[^/?#]*://[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || substr(bare, length(regexp_extract(bare, '^[^/?#]*://[^/?#]*')) + 1) AS node FROM u),
-tags AS (SELECT DISTINCT node, unnest(list_concat(
-           list_transform(regexp_extract_all(html, '(?is)<link\b[^>]*?\brel\s*=\s*["'']?canonical\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
-           list_transform(regexp_extract_all(html, '(?is)<meta\b[^>]*?\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\bcontent\s*=\s*["'']?[^"''>]*?\burl\s*=\s*[''"]?([^"''\s>]+)', 1)))) AS raw FROM n0),
+found AS (SELECT node, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^<>]*>')) AS tag FROM n0),
+tags AS (SELECT DISTINCT node, raw FROM (SELECT node, CASE WHEN regexp_matches(tag, '(?i)^<link\b') AND regexp_matches(tag, '(?i)[\s"''/]rel\s*=\s*["'']?canonical\b') THEN regexp_extract(tag, '(?i)[\s"''/]href\s*=\s*["'']?([^"''\s>]+)', 1)
+           WHEN regexp_matches(tag, '(?i)^<meta\b') AND regexp_matches(tag, '(?i)[\s"''/]http-equiv\s*=\s*["'']?refresh\b') THEN regexp_extract(regexp_extract(tag, '(?i)[\s"''/]content\s*=\s*("[^"]*"|''[^'']*''|[^\s>]*)', 1), '(?i)\burl\s*=\s*[''"]?([^"''\s>]+)', 1) END AS raw FROM found) AS f WHERE raw IS NOT NULL),
 part AS (SELECT node, replace(raw, '&amp;', '&') AS t, regexp_extract(node, '(?s)^([A-Za-z][A-Za-z0-9+.-]*:)//', 1) AS scheme, regexp_extract(node, '(?s)^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS site,
            regexp_extract(node, '(?s)^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS own, regexp_extract(replace(raw, '&amp;', '&'), '(?s)^([^?#]*)', 1) AS path, regexp_extract(replace(raw, '&amp;', '&'), '(?s)^[^?#]*(.*)$', 1) AS rest FROM tags),
 full_path AS (SELECT *, CASE WHEN starts_with(path, '/') THEN path ELSE CASE WHEN own = '' THEN '/' ELSE regexp_extract(own, '(?s)^(.*/)', 1) END || path END AS p FROM part),

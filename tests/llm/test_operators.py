@@ -433,6 +433,39 @@ def test_url_filter_matches_sql_on_links(spark, tmp_path):
     assert sum(r.rule is None and r.verdict == "block" for r in got) > 3 and sum(r.alias_of is not None for r in got) > 50
 
 
+def test_url_filter_of_malformed_pages(spark):
+    """A megabyte of tags that never end takes time in proportion, and a link beside them is found."""
+    link = '<link rel="canonical" href="http://bad.net/">'
+    units = ["<link ", "<link rel=canonical ", "<meta http-equiv=refresh content='0; url=", "<meta content=\"content=url ", "<link rel = ", "<meta http-equiv=refresh content=content=content= "]
+    pages = [(i, f"http://a{i}.com/", u * (1_000_000 // len(u)) + link) for i, u in enumerate(units)] + [(90, "http://a90.com/", "<link rel" + " rel" * 250_000 + link), (91, "http://a91.com/", "<meta content=\"0;" + "x" * 1_000_000 + " url=http://bad.net/\" http-equiv=refresh>")]
+    pages += [(92, "http://a92.com/", '<link data-rel="canonical" data-href="http://bad.net/">'), (93, "http://a93.com/", "<meta data-content='x' content='0;url=//bad.net/' http-equiv=refresh>"), (94, "http://a94.com/", '<link title="<" rel="canonical" href="http://bad.net/">')]
+    pages += [(None, None, link)] * 30
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    url_filter.judge(df.where("page_id = 93")).collect()
+    began = time.time()
+    got = url_filter.judge(df).collect()
+    assert time.time() - began < 60
+    assert {r.page_id for r in got if r.verdict == "allow"} == {92, 94, None} and sum(r.page_id is None for r in got) == 30
+
+
+def test_named_folders_written_twice(spark, tmp_path):
+    """What was written to a folder before has no effect on a later model, table or file there, nor is it changed."""
+    a = spark.createDataFrame([(i, f"alpha beta gamma {i} " * 3) for i in range(20)], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "one two"), (2, "one two three"), (3, None)], "doc_id long, text string")
+    read = lambda files: {r.doc_id: (r.start, r.n_tokens, bytes(r.ids)) for r in dac.read(files).collect()}
+    scored = lambda model: {r.doc_id: (r.n_known, r.score) for r in lm_score.score(b, model, {"doc_id": b["doc_id"]}).collect()}
+    where = f"file://{tmp_path}"
+    first, before = dac.write(a, where), lm_score.learn(a, folder=where)
+    old_ids, old_scores = read(first), scored(before)
+    assert read(dac.write(b, where)) == read(dac.write(b))
+    model = lm_score.learn(b, folder=where)
+    assert model.texts == 3 and scored(model) == scored(lm_score.learn(b))
+    assert read(first) == old_ids and scored(before) == old_scores
+    bpe.build_table(a, folder=where)
+    ids = lambda t: {r.doc_id: bytes(r.ids) for r in bpe.encode(b, t, {"doc_id": b["doc_id"]}).collect()}
+    assert ids(bpe.build_table(b, folder=where)) == ids(bpe.build_table(b))
+
+
 def joined(ids, links):
     up = {i: i for i in ids}
 
