@@ -1,9 +1,9 @@
 """How document filters act on one another: what each removes, alone and after the others, in every order.
 
-Exact duplicates are found by sorting. Rows are dealt by range over text fingerprint, full text and
-doc_id, so a text that many documents share is spread over several tasks by its ids; each row is held
-against the one before it, and a run that goes on over a boundary takes its first id from the tasks
-before. The failures of a document are one mask; masks are counted by part, and all 120 orders are
+Exact duplicates are found by sorting. Rows are dealt by range over text fingerprint (64 bits, then a
+digest of 256), full text and doc_id, so a text that many documents share is spread over several tasks
+by its ids; each row is held against the one before it, and a run that goes on over a boundary takes
+its first id from the tasks before. The failures of a document are one mask; masks are counted by part, and all 120 orders are
 worked out from those counters, at most 32 for a part.
 """
 
@@ -36,8 +36,8 @@ def text_failures(text: Column) -> Column:
 
 
 def _first_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of fp, text, doc_id without their text, with run (their run's number in the task), first_id (the run's
-    first id there) and, on a task's first run and on its last row, digest."""
+    """Rows in order of fp, sha, text, doc_id without their text, with run (their run's number in the task) and first_id
+    (the run's first id there)."""
     before, run, first = None, -1, None
     for batch in batches:
         if not batch.num_rows:
@@ -65,10 +65,11 @@ def failures(docs: DataFrame, part_col: str = "source", id_col: str = "doc_id",
     spark = docs.sparkSession
     prepare(spark)
     text = F.coalesce(docs[text_col], F.lit(""))
-    rows = docs.select(F.coalesce(docs[part_col], F.lit("")).alias("part"), docs[id_col].alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("fp"))
-    order = ["fp", "text", F.asc_nulls_last("doc_id")]
-    dealt = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    ready = dealt.select("fp", "text", "doc_id", "part", text_failures(F.col("text")).alias("mask"), F.unhex(F.sha2("text", 256)).alias("sha"), F.spark_partition_id().alias("task"))
+    rows = docs.select(F.coalesce(docs[part_col], F.lit("")).alias("part"), docs[id_col].alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("fp"), F.unhex(F.sha2(text, 256)).alias("sha"))
+    by_id = F.asc_nulls_last("doc_id")
+    # the bounds of ranges pass through the driver: they have a text's digest, not the text
+    dealt = rows.repartitionByRange(partitions(spark), "fp", "sha", by_id).sortWithinPartitions("fp", "sha", "text", by_id)
+    ready = dealt.select("fp", "text", "doc_id", "part", text_failures(F.col("text")).alias("mask"), "sha", F.spark_partition_id().alias("task"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     found = stash(ready.mapInArrow(_first_ids, f"task int, part string, doc_id {id_type}, mask int, sha binary, run long, first_id {id_type}"), "runs")
     return _joined_runs(found)
