@@ -172,7 +172,7 @@ def build_table(docs: DataFrame, tokenizer_file: str | None = None, text_col: st
     prepare(spark)
     path = tokenizer_file or default_file()
     shards = partitions(spark)
-    where = mounted(folder or new_folder(spark, "words"))
+    where = mounted(new_folder(spark, "words", folder))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: set[str] = set()

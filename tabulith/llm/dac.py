@@ -129,11 +129,12 @@ def write(docs: DataFrame, folder: str | None = None, tokenizer_file: str | None
     """Encodes and writes every row's whole text, and gives the files: number, file, path, docs, ids, start.
 
     Null text is empty, so only the end id is written. An empty table gives no files; other columns
-    are ignored. A repeated task writes the same files again under their names.
+    are ignored. A repeated task writes the same files again under their names. Each call writes to a folder
+    of its own, in ``folder`` if one is named.
     """
     spark = docs.sparkSession
     prepare(spark)
-    path, where = tokenizer_file or default_file(), mounted(folder or new_folder(spark, "tokens"))
+    path, where = tokenizer_file or default_file(), mounted(new_folder(spark, "tokens", folder))
     key = F.xxhash64(docs[text_col])
     frame = docs.select(docs[id_col].alias("doc_id"), key.alias("text_key"), docs[text_col].alias("text"))
     frame = frame.repartitionByRange(partitions(spark), "doc_id", "text_key").sortWithinPartitions("doc_id", "text_key")

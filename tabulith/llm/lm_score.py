@@ -122,10 +122,12 @@ def _classes(c: np.ndarray) -> list[int]:
 
 
 def learn(docs: DataFrame, text_col: str = "text", folder: str | None = None) -> Model:
-    """Counts every whole text of docs (null: empty) and writes the arrays to the shared folder."""
+    """Counts every whole text of docs (null: empty) and writes the arrays to a new folder, in ``folder`` or the shared one.
+
+    An empty table gives a model that knows no word; repeated rows count again; other columns are ignored."""
     spark = docs.sparkSession
     prepare(spark)
-    shards, where = partitions(spark), mounted(folder or new_folder(spark, "bigrams"))
+    shards, where = partitions(spark), mounted(new_folder(spark, "bigrams", folder))
     texts = docs.select(docs[text_col].alias("text"))
 
     def usual(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

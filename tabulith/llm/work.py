@@ -32,8 +32,11 @@ def prepare(spark: SparkSession) -> None:
         env |= {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """URI of a folder of its own in the shared storage."""
+def new_folder(spark: SparkSession, name: str, within: str | None = None) -> str:
+    """URI of a folder of its own in the shared storage, or within a named folder: what was written there before stays
+    as it is, as do the maps that workers hold of it."""
+    if within:
+        return f"{within.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
