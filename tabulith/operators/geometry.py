@@ -100,11 +100,14 @@ def cell_text(words: DataFrame, cells: DataFrame) -> DataFrame:
 def text_rows(words: DataFrame, tolerance: float = 6.0) -> DataFrame:
     """words with ``row``: in order of centre, a word joins the row while within tolerance of its running mean.
 
-    The mean moves with each word, so this is a fold over a page's words and not a window. It gives
-    the places at which rows begin, from which the rows are cut."""
-    w = words.withColumn("cy", (F.col("y0") + F.col("y1")) / 2)
+    The mean moves with each word, so this is a fold and not a window. But it never exceeds the last word's centre, so
+    a step over the tolerance always begins a row: words are first cut there, by window, and the fold is over what lies
+    between two such steps, not over a page. It gives the places at which rows begin, from which the rows are cut.
+    Words without coordinates come first, each a row of its own."""
+    # a little more than the tolerance, as a mean is rounded
+    w = islands(words.withColumn("cy", (F.col("y0") + F.col("y1")) / 2), PAGE, "cy", tolerance + 1e-6)
     item = F.struct("cy", "word_seq", "x0", "y0", "x1", "y1", "text")
-    pages = w.groupBy(*PAGE).agg(F.array_sort(F.collect_list(item)).alias("words"))
+    pages = w.groupBy(*PAGE, "island").agg(F.array_sort(F.collect_list(item)).alias("words"))
     zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"), F.lit(0).alias("i"), F.array().cast("array<int>").alias("starts"))
 
     def step(acc, x):
@@ -112,9 +115,11 @@ def text_rows(words: DataFrame, tolerance: float = 6.0) -> DataFrame:
         on = F.struct((acc["sum"] + x["cy"]).alias("sum"), (acc["n"] + 1).alias("n"), (acc["i"] + 1).alias("i"), acc["starts"].alias("starts"))
         return F.when(same, on).otherwise(F.struct(x["cy"].alias("sum"), F.lit(1).alias("n"), (acc["i"] + 1).alias("i"), F.concat(acc["starts"], F.array(acc["i"] + 1)).alias("starts")))
 
-    folded = pages.select(*PAGE, "words", F.aggregate("words", zero, step)["starts"].alias("starts"))
+    folded = pages.select(*PAGE, "island", "words", F.aggregate("words", zero, step)["starts"].alias("starts"))
+    before = Window.partitionBy(*PAGE).orderBy("island").rowsBetween(Window.unboundedPreceding, -1)
+    folded = folded.withColumn("first", F.coalesce(F.sum(F.size("starts")).over(before), F.lit(0)))
     end = lambda i: F.coalesce(F.get("starts", i + 1), F.size("words") + 1)
-    cut = F.transform("starts", lambda s, i: F.struct(i.cast("long").alias("row"), F.slice("words", s, end(i) - s).alias("words")))
+    cut = F.transform("starts", lambda s, i: F.struct((F.col("first") + i).alias("row"), F.slice("words", s, end(i) - s).alias("words")))
     rows = folded.select(*PAGE, F.explode(cut).alias("r")).select(*PAGE, F.col("r.row").alias("row"), F.explode("r.words").alias("w"))
     return rows.select(*PAGE, "w.*", "row")
 

@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulith.operators.geometry import PAGE, centred, classify_segments, column_grid, grid_positions, islands, joined_text, merge_collinear, position_cells, row_bottoms, row_bounds, spans_holding, text_cells, text_rows, trim_bottom
+from tabulith.operators.spatial import boxes_meeting, points_in
 from tabulith.storage import importable, stored
 
 REGION = [*PAGE, "block_seq"]
+#: The columns of an area, as tile joins take them.
+AREA = [("rx0", "rx1"), ("ry0", "ry1")]
 #: Points by which a ruling may miss another and still touch it.
 TOUCH = 3.0
 #: Greatest height of a table below its top ruling or title.
@@ -44,9 +47,9 @@ def rulings_in(areas: DataFrame, segments: DataFrame) -> DataFrame:
     A drawing that reaches into the area gives all its segments; segments without those columns are drawings of their own."""
     drawn = {"dx0", "dy0", "dx1", "dy1"} <= set(segments.columns)
     box = [(F.col(f"d{a}{i}") if drawn else f(f"p1{a}", f"p2{a}")).alias(f"s{a}{i}") for a in "xy" for i, f in enumerate((F.least, F.greatest))]
-    near = areas.select(*REGION, "rx0", "ry0", "rx1", "ry1").join(segments.select(*PAGE, "kind", "p1x", "p1y", "p2x", "p2y", *box), PAGE)
-    near = near.where("sx0 <= rx1 and sx1 >= rx0 and sy0 <= ry1 and sy1 >= ry0")
-    return merge_collinear(classify_segments(near, per=REGION), per=REGION)
+    lines = classify_segments(segments.select("*", *box), per=[*PAGE, "sx0", "sy0", "sx1", "sy1"])
+    near = boxes_meeting(areas.select(*REGION, "rx0", "ry0", "rx1", "ry1"), lines, AREA, [("sx0", "sx1"), ("sy0", "sy1")])
+    return merge_collinear(near.select(*REGION, "orientation", "position", "start", "end"), per=REGION)
 
 
 def table_bounds(titles: DataFrame, segments: DataFrame) -> DataFrame:
@@ -84,14 +87,19 @@ def region_grids(bounds: DataFrame, segments: DataFrame) -> DataFrame:
     return position_cells(ruled_grids(bounds, segments)[1], REGION)
 
 
+def words_in(areas: DataFrame, words: DataFrame) -> DataFrame:
+    """areas(rx0, ry0, rx1, ry1) joined with the words whose centre they hold."""
+    mid = lambda a: ((F.col(f"{a}0") + F.col(f"{a}1")) / 2).alias(f"m{a}")
+    return points_in(areas, words.select(*PAGE, "word_seq", "x0", "y0", "x1", "y1", "text", mid("x"), mid("y")), AREA, ["mx", "my"]).drop("mx", "my")
+
+
 def written_grids(areas: DataFrame, words: DataFrame) -> DataFrame:
     """Region, ys, xs of the grids that words make in areas: from six words, two rows, three column edges.
 
     Rows are bounded half way between them, columns by the mean of the rows that have most cells."""
-    mid = lambda a: (F.col(f"{a}0") + F.col(f"{a}1")) / 2
     # the row fold and the column grid work by page: here each area is one
     one = F.concat_ws("/", *REGION)
-    inside = areas.select(*REGION, "rx0", "ry0", "rx1", "ry1").join(words, PAGE).where(mid("x").between(F.col("rx0"), F.col("rx1")) & mid("y").between(F.col("ry0"), F.col("ry1")))
+    inside = words_in(areas.select(*REGION, "rx0", "ry0", "rx1", "ry1"), words)
     rows = stored(text_rows(inside.select(one.alias("doc_id"), F.lit(1).cast("long").alias("page_no"), "word_seq", "x0", "y0", "x1", "y1", "text")), "rows")
     ys = F.transform(F.array_sort(F.collect_list(F.struct("place", "edge"))), lambda s: s["edge"])
     across = column_grid(text_cells(rows)).groupBy("doc_id").agg(F.array_sort(F.collect_list("edge")).alias("xs")).where(F.size("xs") >= 3)
@@ -138,9 +146,12 @@ def region_shapes(titles: DataFrame, segments: DataFrame, words: DataFrame) -> D
 
 def near_columns(titles: DataFrame, columns: DataFrame, most: float = 1.2) -> DataFrame:
     """columns(page, x0, x1) of each title whose middle is within ``most`` title widths of the title's."""
-    c = columns.select(*PAGE, F.col("x0").alias("c0"), F.col("x1").alias("c1"))
-    far = F.abs((F.col("c0") + F.col("c1")) / 2 - (F.col("x0") + F.col("x1")) / 2)
-    return titles.join(c, PAGE).where(far <= most * (F.col("x1") - F.col("x0"))).select(*REGION, F.col("c0").alias("x0"), F.col("c1").alias("x1"))
+    c = columns.select(*PAGE, F.col("x0").alias("c0"), F.col("x1").alias("c1"), ((F.col("x0") + F.col("x1")) / 2).alias("mid"))
+    far, mid = most * (F.col("x1") - F.col("x0")), (F.col("x0") + F.col("x1")) / 2
+    # a little wider, as the difference below rounds otherwise than the sums here
+    reach = titles.select(*REGION, far.alias("far"), mid.alias("middle"), (mid - far - 1e-6).alias("low"), (mid + far + 1e-6).alias("high"))
+    met = points_in(reach, c, [("low", "high")], ["mid"]).where(F.abs(F.col("mid") - F.col("middle")) <= F.col("far"))
+    return met.select(*REGION, F.col("c0").alias("x0"), F.col("c1").alias("x1"))
 
 
 def merged_headers(cells: DataFrame, lines: DataFrame, per: list[str] = PAGE, header_rows: int = 1) -> DataFrame:
@@ -189,7 +200,8 @@ def vector_candidates(lines: DataFrame) -> DataFrame:
     across = islands(lines.where("orientation = 'horizontal'"), PAGE, "position", 40.0)
     bands = across.groupBy(*PAGE, "island").agg(F.min("position").alias("y0"), F.max("position").alias("y1"), F.count(F.lit(1)).alias("n")).where("n >= 2").withColumnRenamed("island", "band")
     upright = lines.where("orientation = 'vertical'").select(*PAGE, "position", "start", "end")
-    met = bands.join(upright, PAGE).where("start <= y1 + 5 and end >= y0 - 5").select(*PAGE, "band", "y0", "y1", "position")
+    reach = bands.select("*", (F.col("y0") - 5).alias("low"), (F.col("y1") + 5).alias("high"))
+    met = boxes_meeting(reach, upright, [("low", "high")], [("start", "end")]).select(*PAGE, "band", "y0", "y1", "position")
     groups = islands(met, [*PAGE, "band"], "position", 20.0).groupBy(*PAGE, "band", "y0", "y1", "island")
     boxes = groups.agg(F.min("position").alias("x0"), F.max("position").alias("x1"), F.count(F.lit(1)).alias("n"))
     return boxes.where("n >= 2 and x1 - x0 >= 30 and y1 - y0 >= 15").select(*PAGE, "x0", "y0", "x1", "y1")

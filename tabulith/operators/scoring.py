@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabulith.functions import vocab
 from tabulith.functions.text import normalised, title_type, token_sort_ratio
 from tabulith.functions.words import best_alias
+from tabulith.operators.spatial import PAGE, boxes_meeting
 from tabulith.storage import importable
 
 REGION = ["doc_id", "region_index"]
@@ -136,16 +137,19 @@ def title_zones(rects: DataFrame, fraction: float = 0.28) -> DataFrame:
 
 
 def uncovered(blocks: DataFrame, regions: DataFrame) -> DataFrame:
-    """Text blocks that touch no region of their page."""
-    b, r = blocks.where("block_type = 0").alias("b"), regions.alias("r")
-    touch = (F.col("b.doc_id") == F.col("r.doc_id")) & (F.col("b.page_no") == F.col("r.page_no")) & F.expr("b.x0 < r.x1 and r.x0 < b.x1 and b.y0 < r.y1 and r.y0 < b.y1")
-    return b.join(r, touch, "left_anti")
+    """Text blocks that overlap no region of their page; those that only touch one at a border stay, as do those without a number."""
+    texts = blocks.where("block_type = 0")
+    areas = regions.select(*PAGE, *(F.col(c).alias(f"r{c}") for c in ("x0", "y0", "x1", "y1")))
+    met = boxes_meeting(areas, texts.select(*PAGE, "block_seq", "x0", "y0", "x1", "y1"), [("rx0", "rx1"), ("ry0", "ry1")], [("x0", "x1"), ("y0", "y1")])
+    touched = met.where("x0 < rx1 and rx0 < x1 and y0 < ry1 and ry0 < y1").select(*PAGE, "block_seq").distinct()
+    return texts.join(touched, [*PAGE, "block_seq"], "left_anti")
 
 
 def nearby_titles(regions: DataFrame, blocks: DataFrame, margin: float = 40.0) -> DataFrame:
     """regions with the first title in block order that touches them within the margin."""
     titles = anchors(blocks, notes=True).select("doc_id", "page_no", F.col("block_seq"), F.col("text").alias("title"), *(F.col(c).alias(f"b{c}") for c in ("x0", "y0", "x1", "y1")))
-    near = regions.join(titles, ["doc_id", "page_no"]).where(F.expr(f"bx0 < x1 + {margin} and x0 - {margin} < bx1 and by0 < y1 + {margin} and y0 - {margin} < by1"))
     keys = [*REGION, "page_no"]
+    wide = regions.select(*keys, *((F.col(c) + s * margin).alias(f"w{c}") for c, s in (("x0", -1), ("y0", -1), ("x1", 1), ("y1", 1))))
+    near = boxes_meeting(wide, titles, [("wx0", "wx1"), ("wy0", "wy1")], [("bx0", "bx1"), ("by0", "by1")]).where("bx0 < wx1 and wx0 < bx1 and by0 < wy1 and wy0 < by1")
     best = near.groupBy(*keys).agg(F.min_by("title", "block_seq").alias("title"))
     return regions.select(*keys).join(best, keys, "left")
