@@ -45,15 +45,6 @@ def header_fields_fuzzy(headers: DataFrame) -> DataFrame:
     return headers.join(distinct, F.col("raw_header").eqNullSafe(F.col("h")), "left").drop("h")
 
 
-def add_terms(store: DataFrame, terms: DataFrame, least: float = vocab.FUZZY_THRESHOLD) -> DataFrame:
-    """store(term, category, ...) and those terms that no stored term of their category comes near.
-
-    New terms are held against the store, not against each other."""
-    s = store.select(F.col("term").alias("old"), F.col("category").alias("of"))
-    near = (F.col("category") == F.col("of")) & (token_sort_ratio(F.col("term"), F.col("old")) >= least)
-    return store.unionByName(terms.join(s, near, "left_anti"), allowMissingColumns=True)
-
-
 def dictionary_hits(headers: DataFrame, terms: dict[str, tuple[str, ...]]) -> DataFrame:
     """Each distinct header with its best term: term, category, score; the first of equals.
 

@@ -1,8 +1,8 @@
 """Boxes and points of one page that meet, in one or two directions: a join on tiles.
 
 Both sides are dealt to tiles of their page and met there, so that neither a crowded page nor a large
-one is a task of its own, and no pair of a page is looked at that is not near. Tiles are half as large
-as the boxes are on average, so a box covers about nine, and what stands in them is about twice what
+one is a task of its own, and no pair of a page is looked at that is not near. Tiles are as large as the
+boxes are on average, so a box lies in about four, and what stands in them is about four times what
 stands in the box; they are never so small that all boxes together span over MOST_TILES.
 """
 
@@ -26,7 +26,7 @@ def _tiling(boxes: DataFrame, box: Box) -> list[tuple[float, float, float]]:
     out = []
     for i in range(0, len(each), 3):
         mean, low, high = (v if v is not None else 0.0 for v in found[i : i + 3])
-        out.append((float(max(mean / 2, (high - low) / MOST_TILES, 1e-3)), float(low), float(high)))
+        out.append((float(max(mean, (high - low) / MOST_TILES, 1e-3)), float(low), float(high)))
     return out
 
 

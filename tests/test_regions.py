@@ -5,7 +5,7 @@ import itertools
 from pyspark.sql import functions as F
 
 from tabulith.functions import words as w
-from tabulith.operators import notes, regions, scoring
+from tabulith.operators import notes, regions, scoring, similarity
 from tabulith.plans import queries, region_queries
 from tabulith.sources import sinks, stores
 from tests.conftest import DATA
@@ -75,7 +75,7 @@ def test_dictionary_round_trip(spark, tmp_path):
     back = stores.load_terms(spark, path)
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, terms.collect()), key=repr)
     more = spark.createDataFrame([("Ref No", "a"), ("Ref No", "b"), ("Volume", "a")], "term string, category string")
-    added = scoring.add_terms(terms, more)
+    added = similarity.add_terms(terms, more)
     assert sorted((r["term"], r["category"]) for r in added.collect()) == [("Ref No", "b"), ("Ref No.", "a"), ("Type", "a"), ("Volume", "a")]
 
 

@@ -15,7 +15,7 @@ def _boxes(rng, n, size):
     out = []
     for i in range(n):
         x, y = rng.choice([rng.uniform(-50, 900), float(rng.randint(-5, 90) * 10)]), float(rng.randint(0, 60) * 10)
-        w, h = rng.choice([0.0, 10.0, rng.uniform(0, size), 2000.0 if i % 40 == 0 else 5.0]), rng.choice([0.0, 10.0, rng.uniform(0, size)])
+        w, h = rng.choice([0.0, 10.0, rng.uniform(0, size), 2000.0 if i % 40 == 0 else 5.0]), rng.choice([0.0, 10.0, rng.uniform(0, 2 * size), 300.0])
         out.append((rng.randint(1, 2), 1, i, x, y, x + w, y + h) if i % 19 else (1, 1, i, rng.choice([None, x]), y, x - 1, y))
     return out
 
@@ -32,7 +32,7 @@ def test_points_in(spark):
     p = spark.createDataFrame(points, "doc_id long, page_no long, point long, cx double, cy double")
     got = sorted((r.box, r.point) for r in points_in(b, p, AREA, ["cx", "cy"]).collect())
     want = sorted((x[2], q[2]) for x in boxes if _ok(x) for q in points if None not in q and x[0] == q[0] and x[3] <= q[3] <= x[5] and x[4] <= q[4] <= x[6])
-    assert got == want and len(want) > 1000
+    assert got == want and len(want) > 150
     flat = sorted((r.box, r.point) for r in points_in(b.where("x0 <= x1 and y0 <= y1"), p.where("cy is not null"), AREA[:1], ["cx"]).collect())
     assert flat == sorted((x[2], q[2]) for x in boxes if _ok(x) for q in points if None not in q and x[0] == q[0] and x[3] <= q[3] <= x[5])
     assert points_in(b.where("false"), p, AREA, ["cx", "cy"]).count() == points_in(b, p.where("false"), AREA, ["cx", "cy"]).count() == 0
@@ -47,7 +47,7 @@ def test_boxes_meeting(spark):
     for d in (1, 2):
         got = sorted((r.one, r.two) for r in boxes_meeting(a.where("x0 <= x1 and y0 <= y1"), b.where("a0 <= a1 and b0 <= b1"), AREA[:d], SPAN[:d]).collect())
         want = sorted((x[2], y[2]) for x in left if _ok(x) for y in right if _ok(y) and x[0] == y[0] and meet(x, y, d))
-        assert got == want and len(set(want)) == len(want) > 500
+        assert got == want and len(set(want)) == len(want) > 100
     assert boxes_meeting(a, b, AREA, SPAN).count() == len([1 for x in left if _ok(x) for y in right if _ok(y) and x[0] == y[0] and meet(x, y, 2)])
     assert boxes_meeting(a, b.where("false"), AREA, SPAN).count() == boxes_meeting(a.where("false"), b, AREA, SPAN).count() == 0
 
