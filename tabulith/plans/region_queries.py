@@ -200,7 +200,7 @@ def region_summary(spark, d):
 
 def presentation_notes(spark, d):
     made = sinks.presentation_notes(_notes(spark, d), r.REGION)
-    return made.select("doc_id", F.to_json(F.struct("notes", "sections", "additional_notes", "legends", "flags"), sinks.KEPT).alias("json"))
+    return made.select("doc_id", "json")
 
 
 W = f"WITH {q.WITH}, {TITLES}"

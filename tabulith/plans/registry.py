@@ -3,8 +3,9 @@
 from tabulith.plans import queries as pages
 from tabulith.plans import region_queries as regions
 from tabulith.plans import table_queries as tables
+from tabulith.plans import term_queries as terms
 
-QUERIES = pages.QUERIES | regions.QUERIES | tables.QUERIES
+QUERIES = pages.QUERIES | regions.QUERIES | tables.QUERIES | terms.QUERIES
 
 
 def queries() -> dict:

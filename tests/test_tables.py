@@ -183,11 +183,38 @@ def test_files_to_documents(spark, sheet, tmp_path):
     assert sinks.write_documents(regions, str(out)) == [f"{out}: 2 documents, 4 files"]
     assert sorted(x.name for x in out.iterdir()) == [f"plan{d}_{k}.json" for d in (1, 2) for k in ("canonical", "simplified")]
     whole = json.loads((out / "plan1_canonical.json").read_text(encoding="utf-8"))
-    assert [(x["table_type"], x["row_count"]) for x in whole] == [("beam_schedule", 2), ("general_notes", None)]
-    assert whole[0]["rows"][0]["cells"][1]["normalized_value"][0] == {"count": 2, "bar_type": "T16", "diameter_mm": None, "spacing_mm": None}
+    assert [(x["table_type"], x.get("row_count")) for x in whole] == [("beam_schedule", 2), ("general_notes", None)]
+    assert whole[0]["rows"][0]["cells"][1]["normalized_value"][0] == {"count": 2, "bar_type": "T16"}
     simple = json.loads((out / "plan1_simplified.json").read_text(encoding="utf-8"))["tables"]
     assert simple[0] == {"name": "SCHEDULE  OF", "type": "beam_schedule", "rows": [{"Beam Mkd.": "B1", "Stirups": "2-T16+1-T12", "Remarks": "R1"}, {"Beam Mkd.": "B2", "Stirups": "T10@150c/c", "Remarks": ""}]}
-    assert simple[1] == {"name": "GENERAL NOTES", "type": "general_notes", "notes": {"notes": {}, "sections": {"Cover": {"Column": "40mm"}}, "additional_notes": ["All dimensions in mm"], "legends": {}}}
+    assert simple[1] == {"name": "GENERAL NOTES", "type": "general_notes", "Cover": {"Column": "40mm"}, "additional_notes": ["All dimensions in mm"]}
+    assert whole[1]["general_notes"] == {"cover": {"column": "40mm"}} and whole[1]["legends"] == {} and whole[1]["metadata"] == ["ALL DIMENSIONS IN MM"]
+    assert len(whole[0]["source_region_bbox"]) == len(whole[0]["rows"][0]["cells"][0]["bbox"]) == 4 and whole[0]["page_number"] == whole[1]["page_number"] == 1
+
+
+def test_documents_in_both_forms(spark):
+    """Notes with a section, a line without a key and a legend without a text; a table without rows; keys that repeat."""
+    bbox = (1.0, 2.0, 3.0, 4.0)
+    kinds = "doc_id string, page_no long, block_seq long, table_type string, region_type string, title_raw string, source_region_bbox struct<x0: double, y0: double, x1: double, y1: double>, notes array<struct<kind: string, section: string, key: string, value: string>>"
+    table = "detection_strategy string, row_count long, col_count long, header_row_index int, headers array<struct<col_index: long, raw_header: string, canonical_field: string, parent_header: string>>, merged_header_cells array<struct<bbox: struct<x0: double, y0: double, x1: double, y1: double>, merge_type: string>>, rows array<struct<row_index: long, cells array<struct<col_index: long, raw_text: string, confidence: double, normalized_value array<struct<count: int, bar_type: string, diameter_mm: double, spacing_mm: int>>, bbox struct<x0: double, y0: double, x1: double, y1: double>>>>>"
+    notes = [("note", None, "grade_of_concrete", "M50"), ("note", "cover", "column", "40mm"), ("note", None, "grade_of_steel", "Fe 500 \"x\""), ("note", "cover", "slab", "20mm"), ("legend", None, "erection_mark", ""), ("legend", None, "dowel", "pipe"), ("metadata", None, None, "ALL DIMENSIONS ARE IN MM")]
+    head = [(0, "Ref", "ref_no", None), (1, "Dia", None, None), (2, "Ref", None, None)]
+    cells = [(0, "N7", 1.0, None, bbox), (1, '25 "count":null mm', 1.0, [(None, None, 25.0, None)], bbox), (2, "last", 1.0, [(2, "T16", None, None)], bbox)]
+    rows = [
+        ("d", 1, 0, "general_notes", "general_notes", "GENERAL NOTES:\nGENERAL NOTES:", bbox, notes, *[None] * 7), ("d", 1, 1, "dowel_bar_schedule", "schedule", "Dowel Bar Schedule", bbox, None, "text_clustering", 1, 3, 0, head, [(bbox, "horizontal")], [(0, cells)]),
+        ("d", 2, 0, "legend", "legend", None, bbox, None, *[None] * 7), ("d", 2, 1, None, "schedule", None, bbox, None, "vector", 0, 1, 0, [], [], None),
+    ]
+    made = sinks.documents(spark.createDataFrame(rows, f"{kinds}, {table}")).first()
+    whole, simple = json.loads(made.canonical), json.loads(made.simplified)["tables"]
+    assert list(whole[0]) == ["table_type", "region_type", "title_raw", "source_region_bbox", "general_notes", "legends", "metadata", "page_number"]
+    assert whole[0]["general_notes"] == {"grade_of_concrete": "M50", "cover": {"column": "40mm", "slab": "20mm"}, "grade_of_steel": 'Fe 500 "x"'} and list(whole[0]["general_notes"]) == ["grade_of_concrete", "cover", "grade_of_steel"]
+    assert whole[0]["legends"] == {"erection_mark": "", "dowel": "pipe"} and whole[0]["metadata"] == ["ALL DIMENSIONS ARE IN MM"] and whole[0]["source_region_bbox"] == list(bbox)
+    assert [c["normalized_value"] for c in whole[1]["rows"][0]["cells"]] == [None, [{"diameter_mm": 25.0}], [{"count": 2, "bar_type": "T16"}]]
+    assert whole[1]["headers"][1] == {"col_index": 1, "raw_header": "Dia", "canonical_field": None, "parent_header": None} and whole[1]["merged_header_cells"] == [{"bbox": list(bbox), "merge_type": "horizontal"}]
+    assert whole[1]["rows"][0]["cells"][1]["raw_text"] == '25 "count":null mm' and whole[2]["general_notes"] == {} and whole[3]["page_number"] == 2
+    assert simple[0] == {"name": "GENERAL NOTES", "type": "general_notes", "notes": {"Grade Of Concrete": "M50", "Grade Of Steel": 'Fe 500 "x"'}, "Cover": {"Column": "40mm", "Slab": "20mm"}, "additional_notes": ["All dimensions are in mm"], "legends": {"Erection Mark": None, "Dowel": "pipe"}, "flags": ["Erection Mark (symbol/icon in source drawing -- not text-extractable)"]}
+    assert list(simple[0]) == ["name", "type", "notes", "Cover", "additional_notes", "legends", "flags"]
+    assert simple[1:] == [{"name": "Dowel Bar Schedule", "type": "dowel_bar_schedule", "rows": [{"Ref": "last", "Dia": '25 "count":null mm'}]}, {"name": "legend", "type": "legend"}, {"name": "Table", "type": "", "rows": []}]
 
 
 def _two_pages(data):
