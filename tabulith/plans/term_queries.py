@@ -7,8 +7,9 @@ from tabulith.operators import similarity as sim
 #: Terms made from the names, types and brands of parts; a suffix makes near ones.
 HEADERS = "SELECT DISTINCT concat(p_name, ' ', p_type) AS term FROM {part}"
 STORE = "SELECT DISTINCT concat(p_type, '  ', p_name, CASE p_size % 3 WHEN 0 THEN '' WHEN 1 THEN 's' ELSE '.' END) AS term, p_brand AS category FROM {part}"
-OLD = "SELECT DISTINCT concat(p_name, ' Brand#7') AS term, p_type AS category FROM {part} WHERE p_size = 50"
-NEW = "SELECT min(p_partkey) AS i, concat(p_name, ' ', p_brand) AS term, p_type AS category FROM {part} GROUP BY p_name, p_brand, p_type"
+OLD = "SELECT DISTINCT concat(p_name, ' -') AS term, p_type AS category FROM {part} WHERE p_size = 50"
+_END = "CASE p_size % 5 WHEN 0 THEN '' WHEN 1 THEN 's' WHEN 2 THEN '.' WHEN 3 THEN ' xx' ELSE ' no.' END"
+NEW = f"SELECT min(p_partkey) AS i, concat(p_name, {_END}) AS term, p_type AS category FROM {{part}} GROUP BY p_name, {_END}, p_type"
 
 
 def _terms(spark, d, sql):
