@@ -261,21 +261,57 @@ def joined_boxes(boxes: list[tuple[float, ...]], dx: float, dy: float) -> list[t
     return todo
 
 
-def block_regions(blocks: DataFrame, dx: float = 15.0, dy: float = 8.0) -> DataFrame:
-    """Text blocks of a page joined to regions of at least 30 by 15, in block order."""
-    importable(blocks.sparkSession)
-    box = F.struct("block_seq", "x0", "y0", "x1", "y1")
-    pages = blocks.where("block_type = 0").groupBy(*PAGE).agg(F.array_sort(F.collect_list(box)).alias("boxes"))
-
-    @F.pandas_udf("array<struct<x0: double, y0: double, x1: double, y1: double>>")
-    def unite(lists: pd.Series) -> pd.Series:
-        def one(boxes) -> list[dict]:
-            found = joined_boxes([(b["x0"], b["y0"], b["x1"], b["y1"]) for b in boxes], dx, dy)
-            return [dict(zip(("x0", "y0", "x1", "y1"), b, strict=True)) for b in found if b[2] - b[0] >= 30 and b[3] - b[1] >= 15]
+_CORNERS = ["x0", "y0", "x1", "y1"]
+#: Boxes that a task unites by itself at a time; more makes the first step slower and the rounds after it fewer.
+_AT_ONCE = 256
+
+
+def _united_nearby(boxes: DataFrame, dx: float, dy: float) -> DataFrame:
+    """Boxes united with others of their part of the page, _AT_ONCE at a time; what lies across parts is left for the rounds."""
+    importable(boxes.sparkSession)
+    part = [F.floor(F.col(c) / (20 * d + 500)).alias(t) for c, d, t in (("x0", dx, "__tx"), ("y0", dy, "__ty"))]
+    keys = [*PAGE, "__tx", "__ty"]
+    kind = ", ".join(f"{c} {boxes.schema[c].dataType.simpleString()}" for c in [*PAGE, *_CORNERS])
+
+    def unite(batches):
+        for batch in batches:
+            rows = []
+            for key, group in batch.groupby(keys, sort=False):
+                listed = list(group[_CORNERS].itertuples(index=False, name=None))
+                for i in range(0, len(listed), _AT_ONCE):
+                    rows += [(*key[: len(PAGE)], *b) for b in joined_boxes(listed[i : i + _AT_ONCE], dx, dy)]
+            yield pd.DataFrame(rows, columns=[*PAGE, *_CORNERS])
+
+    dealt = boxes.select(*PAGE, *_CORNERS, *part)
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "y0", "x0").mapInPandas(unite, kind)
+
+
+def united_boxes(boxes: DataFrame, dx: float, dy: float) -> DataFrame:
+    """Page and box of what is left when boxes of a page are united while any two lie within dx and dy.
+
+    A united box reaches further than its parts, and still the result has no order: two near boxes are in one box at the
+    end whichever pair goes first, as those that hold them are near as well. So tasks unite what they have, and then all
+    boxes go in rounds: each joins that of its neighbours, itself included, whose hash is least, until none has a
+    neighbour. No page is one task. Boxes that are null or reversed or have no page are left out; equal boxes are one; no boxes give none."""
+    ok = F.expr("x0 <= x1 and y0 <= y1 and doc_id is not null and page_no is not null")
+    now = stored(_united_nearby(boxes.where(ok).select(*PAGE, *_CORNERS).distinct(), dx, dy).distinct(), "united")
+    number = 0
+    while True:
+        number += 1
+        side = lambda p, by: [(F.col(c) + s * by * d).alias(f"{p}{c}") for c, s, d in (("x0", -1, dx), ("y0", -1, dy), ("x1", 1, dx), ("y1", 1, dy))]
+        other = now.select(*PAGE, *side("o", 0), F.xxhash64(*_CORNERS, F.lit(number)).alias("rank"))
+        met = boxes_meeting(now.select("*", *side("w", 1)), other, [("wx0", "wx1"), ("wy0", "wy1")], [("ox0", "ox1"), ("oy0", "oy1")])
+        least = met.groupBy(*PAGE, *_CORNERS).agg(F.min(F.struct("rank", *(f"o{c}" for c in _CORNERS))).alias("to"), F.count(F.lit(1)).alias("n"))
+        least = stored(least, "nearest")
+        if least.where("n > 1").isEmpty():
+            return now
+        grown = [F.least(F.min(c), F.first(f"to.o{c}")) if c.endswith("0") else F.greatest(F.max(c), F.first(f"to.o{c}")) for c in _CORNERS]
+        now = stored(least.groupBy(*PAGE, "to").agg(*(g.alias(c) for g, c in zip(grown, _CORNERS, strict=True))).select(*PAGE, *_CORNERS).distinct(), "united")
 
-        return lists.map(one)
 
-    return pages.select(*PAGE, F.explode(unite("boxes")).alias("b")).select(*PAGE, "b.x0", "b.y0", "b.x1", "b.y1")
+def block_regions(blocks: DataFrame, dx: float = 15.0, dy: float = 8.0) -> DataFrame:
+    """Text blocks of a page joined to regions of at least 30 by 15."""
+    return united_boxes(blocks.where("block_type = 0"), dx, dy).where("x1 - x0 >= 30 and y1 - y0 >= 15")
 
 
 def summary(regions: DataFrame) -> DataFrame:

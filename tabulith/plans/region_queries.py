@@ -170,6 +170,23 @@ def block_regions(spark, d):
     return r.block_regions(b.relation(spark, d, b.BLOCK).withColumns({"x1": F.col("x1") + (F.col("doc_id") % 3) * 4, "y1": F.col("y1") + 6}))
 
 
+#: Each box as the union of those near it, itself included, until a page's boxes stay as they are.
+UNITED = """at0 AS (SELECT doc_id, page_no, CAST(0 AS BIGINT) AS i, true AS more, list_sort(list_distinct(list({'a': x0, 'b': y0, 'c': x1, 'd': y1}))) AS boxes FROM part GROUP BY doc_id, page_no),
+grown AS (SELECT * FROM at0 UNION ALL SELECT doc_id, page_no, i + 1, wider <> boxes, wider FROM (SELECT *, list_sort(list_distinct(list_transform(boxes, lambda p: list_reduce(list_filter(boxes, lambda q: q.a <= p.c + 15 AND q.c >= p.a - 15 AND q.b <= p.d + 8 AND q.d >= p.b - 8),
+  lambda s, q: {'a': least(s.a, q.a), 'b': least(s.b, q.b), 'c': greatest(s.c, q.c), 'd': greatest(s.d, q.d)}, p)))) AS wider FROM grown WHERE more) AS w),
+whole AS (SELECT doc_id, page_no, unnest(arg_max(boxes, i)) AS u FROM grown GROUP BY doc_id, page_no),
+united AS (SELECT doc_id, page_no, u.a AS x0, u.b AS y0, u.c AS x1, u.d AS y1 FROM whole WHERE u.c - u.a >= 30 AND u.d - u.b >= 15)"""
+BLOCKS_SQL = f"""WITH RECURSIVE {q.WITH}, part AS (SELECT doc_id, page_no, x0, y0, x1 + doc_id % 3 * 4 AS x1, y1 + 6 AS y1 FROM block WHERE block_type = 0), {UNITED} SELECT * FROM united"""
+
+
+def word_regions(spark, d):
+    """Words of a page as blocks: rows of a table are one region, what stands apart another; words that end before they begin are left out."""
+    return r.block_regions(b.relation(spark, d, b.WORD).withColumn("block_type", F.lit(0)).withColumn("x1", F.when(F.col("word_seq") % 7 == 3, F.col("x1") + 60).otherwise(F.col("x1"))))
+
+
+WORDS_SQL = f"""WITH RECURSIVE {q.WITH}, part AS (SELECT doc_id, page_no, x0, y0, CASE WHEN word_seq % 7 = 3 THEN x1 + 60 ELSE x1 END AS x1, y1 FROM word WHERE x0 <= CASE WHEN word_seq % 7 = 3 THEN x1 + 60 ELSE x1 END), {UNITED} SELECT * FROM united"""
+
+
 def header_fuzzy(spark, d):
     heads = b.relation(spark, d, b.REGION).select("doc_id", F.explode(F.array("header1", "header2", F.concat("header2", F.lit(" (mm)")))).alias("raw_header"))
     return s.header_fields_fuzzy(heads)
@@ -219,7 +236,8 @@ SELECT doc_id, page_no, string_agg(raw_header, '|' ORDER BY c) AS headers FROM f
     "vector_candidates": (candidate_segments, CANDIDATE_SQL.replace("ruling AS (", f"{SQUEEZED}, ruling AS (", 1).replace("FROM segment WHERE kind = 'l'", "FROM squeezed WHERE kind = 'l'", 1)),
     "notes_bounds": (lambda x, d: n.notes_bounds(_titles(x, d, True), b.relation(x, d, b.BLOCK), b.relation(x, d, b.SEGMENT)), f"WITH {q.WITH}, {q.anchors_sql(True)}, {_kind(True)}, {NB} SELECT {K}, l + 2 AS rx0, tt + 2 AS ry0, r - 2 AS rx1, ee - 2 AS ry1 FROM nb"),
     "notes": (_notes, NOTES_SQL),
-    "block_regions": (block_regions, None),
+    "block_regions": (block_regions, BLOCKS_SQL),
+    "word_regions": (word_regions, WORDS_SQL),
     "header_fuzzy": (header_fuzzy, None),
     "canonical_json": (canonical_json, None),
     "presentation_json": (presentation_json, None),

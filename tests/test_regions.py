@@ -1,6 +1,7 @@
 """Region operators on small fixtures with known answers."""
 
 import itertools
+import random
 
 from pyspark.sql import functions as F
 
@@ -18,6 +19,43 @@ def test_joined_boxes_grow():
     assert regions.joined_boxes([], 15, 8) == []
 
 
+def _boxes(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, page_no long, x0 double, y0 double, x1 double, y1 double")
+
+
+def test_united_boxes_have_no_order(spark):
+    """Random pages, sparse and crowded, against one box after the other in any order; chains; a box that grows into others."""
+    dice = random.Random(3)
+    rows = []
+    for doc, (n, side) in enumerate([(60, 600), (400, 1500), (900, 1200), (300, 6000)]):
+        for _ in range(n):
+            x, y = dice.randrange(side), dice.randrange(side)
+            rows.append((doc, 1, float(x), float(y), float(x + dice.randrange(30)), float(y + dice.randrange(12))))
+    rows += [(9, 1, 40.0 * i, 0.0, 40.0 * i + 30, 5.0) for i in range(200)] + [(10, 1, 0.0, 0.0, 5.0, 5.0), (10, 1, 15.0, 3000.0, 16.0, 3001.0), (10, 1, 18.0, 4.0, 19.0, 2995.0)]
+    got = sorted(tuple(x) for x in regions.united_boxes(_boxes(spark, rows), 15, 8).collect())
+    want = set()
+    for doc in {r[0] for r in rows}:
+        boxes = [r[2:] for r in rows if r[0] == doc]
+        for _ in range(2):
+            dice.shuffle(boxes)
+            want |= {(doc, 1, *b) for b in regions.joined_boxes(boxes, 15, 8)}
+    assert got == sorted(want) and sum(r[0] == 9 for r in got) == sum(r[0] == 10 for r in got) == 1
+
+
+def test_united_boxes_of_odd_rows(spark):
+    odd = [(1, 1, None, 0.0, 1.0, 1.0), (1, 1, 5.0, 0.0, 1.0, 1.0), (None, 1, 0.0, 0.0, 1.0, 1.0), (2, 1, 0.0, 0.0, 0.0, 0.0), (2, 1, 0.0, 0.0, 0.0, 0.0)]
+    assert [tuple(x) for x in regions.united_boxes(_boxes(spark, odd), 1, 1).collect()] == [(2, 1, 0.0, 0.0, 0.0, 0.0)]
+    assert regions.united_boxes(_boxes(spark, []), 1, 1).count() == 0
+
+
+def test_a_crowded_page_of_blocks(spark):
+    """50,000 boxes of one page, most of them apart."""
+    rows = spark.range(50_000).selectExpr("1L as doc_id", "1L as page_no", "cast(id % 250 * 40 as double) as x0", "cast(id div 250 * 30 as double) as y0")
+    rows = rows.selectExpr("*", "x0 + case when y0 % 60 = 0 and x0 % 400 < 200 then 30 else 10 end as x1", "y0 + 5 as y1")
+    # in every second line five boxes of each ten lie 10 apart and reach the sixth
+    assert regions.united_boxes(rows, 15, 8).count() == 50_000 - 100 * 25 * 5
+
+
 def test_overlaid_words(spark):
     rows = [(1, 1, i, x, 0.0, x + 10, 8.0, t) for i, (x, t) in enumerate([(0.0, "a"), (1.5, "a"), (3.0, "a"), (0.0, "b"), (2.0, "b")])]
     df = spark.createDataFrame(rows, "doc_id long, page_no long, word_seq long, x0 double, y0 double, x1 double, y1 double, text string")
