@@ -233,6 +233,52 @@ def test_parser_of_ones_own(spark, tmp_path):
     assert none[0].count() == 0
 
 
+def _counted(data):
+    """Tells of its calls by a line each in the file that the data names first."""
+    where, _, text = data.decode().partition(" ")
+    with open(where, "a") as f:
+        f.write("called\n")
+    if text == "broken":
+        raise RuntimeError("no layout")
+    yield "word", {"page_no": 2, "word_seq": 0, "x0": 0.0, "y0": 0.0, "x1": 1.0, "y1": 1.0, "text": text}
+    yield "page", {"page_no": 1, "width": 1.0, "height": 2.0}
+    yield "page", {"page_no": 2, "width": 1.0, "height": 2.0}
+
+
+def test_files_are_parsed_once(spark, tmp_path):
+    """Five relations, each read twice, of 30 files: 30 calls; a page without any rows but its own stays."""
+    files, calls = tmp_path / "files", tmp_path / "calls"
+    files.mkdir()
+    for i in range(30):
+        (files / f"{i}.txt").write_text(f"{calls} {'long ' * i}")
+    options = {"parser": "tests.test_tables:_counted", "pattern": "*.txt", "maxPartitionBytes": "500"}
+    got = pages.read_layout(spark, str(files), "block", "word", "segment", "drawing", "page", **options)
+    for _ in range(2):
+        assert [x.count() for x in got] == [0, 30, 0, 0, 60]
+    assert len(calls.read_text().split()) == 30
+    assert [x.columns for x in got] == [[c.split()[0] for c in pages.RELATIONS[r].split(", ")] for r in ("block", "word", "segment", "drawing", "page")]
+    flat = spark.read.format("layout").options(relation="word", **options).load(str(files))
+    assert sorted(map(tuple, flat.collect())) == sorted(map(tuple, got[1].collect()))
+
+
+def test_a_file_that_cannot_be_parsed(spark, tmp_path):
+    files, calls = tmp_path / "files", tmp_path / "calls"
+    files.mkdir()
+    (files / "good.txt").write_text(f"{calls} x")
+    (files / "bad.txt").write_text(f"{calls} broken")
+    options = {"parser": "tests.test_tables:_counted", "pattern": "*.txt"}
+    with pytest.raises(Exception, match="bad.txt could not be parsed: no layout"):
+        pages.read_layout(spark, str(files), "word", **options)
+    kept = pages.read_pages(spark, str(files), mode="PERMISSIVE", **options)
+    assert sorted((x.doc_id, x.page_no, x.error) for x in kept.select("doc_id", "page_no", "error").collect() if x.error) == [("bad", None, "RuntimeError: no layout")]
+    assert [x.doc_id for x in pages.relation_of(kept, "word").collect()] == ["good"]
+
+
+def test_packing():
+    assert pages.packed([("a", 5), ("b", 3), ("c", 3), ("d", 20), ("e", 0)], 6) == [["d"], ["a"], ["b", "c", "e"]]
+    assert pages.packed([], 6) == []
+
+
 def test_search_summary(spark):
     found = spark.createDataFrame([(0, 0.5), (1, 0.75), (2, 0.75)], "combo_id long, accuracy double")
     regions = spark.createDataFrame([("p",), ("p",), ("q",)], "source_pdf string")
