@@ -279,6 +279,34 @@ def test_packing():
     assert pages.packed([], 6) == []
 
 
+def _texts(spark, n):
+    rows = spark.range(n).repartition(4).selectExpr("case when id = 0 then null else concat('plan/', id, '%') end as doc_id", "concat('[', id, ']') as canonical", "cast(id as string) as simplified")
+    spark.dataSource.register(sinks.DocumentSink)
+    return rows
+
+
+def test_documents_are_written_whole(spark, tmp_path):
+    """Files replace those of their name, and leave others; names with a stroke stay names."""
+    out = tmp_path / "out"
+    for n in (3, 9):
+        _texts(spark, n).write.format("layout_documents").mode("append").save(str(out))
+        (out / "other.txt").write_text("kept")
+    names = {f"{d}_{k}.json" for d in ["%null", *(f"plan%2F{i}%25" for i in range(1, 9))] for k in ("canonical", "simplified")}
+    assert {x.name for x in out.iterdir()} == names | {"other.txt"} and (out / "plan%2F8%25_canonical.json").read_text() == "[8]"
+    _texts(spark, 2).write.format("layout_documents").mode("append").save(f"file://{tmp_path}/uri")
+    assert len(list((tmp_path / "uri").iterdir())) == 4
+    _texts(spark, 0).write.format("layout_documents").mode("append").save(str(tmp_path / "none"))
+    assert list((tmp_path / "none").iterdir()) == []
+    assert [sinks.file_name(x) for x in (None, "", ".", "..", "a.b", "é", "a/../b")] == ["%null", "%", "%.", "%..", "a.b", "é", "a%2F..%2Fb"]
+
+
+def test_a_job_that_fails_leaves_no_file(spark, tmp_path):
+    bad = _texts(spark, 40).withColumn("canonical", F.expr("case when canonical = '[33]' then raise_error('no text') else canonical end"))
+    with pytest.raises(Exception, match="no text"):
+        bad.write.format("layout_documents").mode("append").save(str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists() or list((tmp_path / "out").iterdir()) == []
+
+
 def test_search_summary(spark):
     found = spark.createDataFrame([(0, 0.5), (1, 0.75), (2, 0.75)], "combo_id long, accuracy double")
     regions = spark.createDataFrame([("p",), ("p",), ("q",)], "source_pdf string")
