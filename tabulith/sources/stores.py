@@ -30,7 +30,10 @@ def save_terms(terms: DataFrame, path: str) -> None:
 
 
 def load_labelled(spark: SparkSession, path: str) -> DataFrame:
-    """One row per labelled region of all JSON files in a folder, in file order: page, zone, and the region's fields."""
-    files = spark.read.schema(LABELLED).json(path, multiLine=True, pathGlobFilter="*.json").withColumn("file", F.col("_metadata.file_name"))
+    """One row per labelled region of all JSON files in a folder, in file order: page, zone, and the region's fields.
+
+    A folder or file named ``*.jsonl`` has a page's object a line."""
+    lines = path.rstrip("/").endswith(".jsonl")
+    files = spark.read.schema(LABELLED).json(path, multiLine=not lines, pathGlobFilter=None if lines else "*.json").withColumn("file", F.col("_metadata.file_name"))
     rows = files.select("file", "source_pdf", "page_width", "page_height", "title_block_zone", F.posexplode("candidates").alias("i", "c"))
     return rows.select("file", "source_pdf", "page_width", "page_height", "title_block_zone", "i", "c.*")
