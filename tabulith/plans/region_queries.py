@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabulith.functions import vocab
 from tabulith.operators import geometry as g
+from tabulith.operators import headers as h
 from tabulith.operators import notes as n
 from tabulith.operators import regions as r
 from tabulith.operators import scoring as s
@@ -98,7 +99,26 @@ def merged_headers(spark, d):
     return r.merged_headers(g.grid_cells(lines), lines)
 
 
+def header_trees(spark, d):
+    """The first two rows as headers; in pages of even number the upper one has no verticals in its middle."""
+    short = (F.col("orientation") == "vertical") & (F.col("doc_id") % 2 == 0) & F.col("position").between(140, 260)
+    lines = _lines(spark, d).withColumn("start", F.when(short, F.col("start") + 13).otherwise(F.col("start")))
+    spans = h.header_spans(g.grid_cells(lines), lines, b.relation(spark, d, b.WORD))
+    return h.header_trees(spans).withColumn("path", F.array_join("path", " / "))
+
+
 GRID = f"{q.RULING}, {q.MERGED}, {q.CELL}"
+TREES_SQL = f"""WITH {q.WITH}, {GRID}, tops AS (SELECT * FROM cell WHERE r < 2),
+cutoff AS (SELECT t.doc_id, t.page_no, t.r, t.c, max(CASE WHEN v.doc_id IS NOT NULL THEN 1 ELSE 0 END) AS cut FROM tops t LEFT JOIN merged v ON t.c > 0 AND v.orientation = 'vertical' AND v.doc_id = t.doc_id AND v.page_no = t.page_no
+  AND abs(v.position - t.x0) <= 2 AND v."start" + CASE WHEN v.doc_id % 2 = 0 AND v.position >= 140 AND v.position <= 260 THEN 13 ELSE 0 END <= t.y0 + 1 AND v."end" >= t.y1 - 1 GROUP BY ALL),
+tn AS (SELECT t.*, (SELECT max(o.c) FROM cutoff o WHERE o.doc_id = t.doc_id AND o.page_no = t.page_no AND o.r = t.r AND o.c <= t.c AND (o.cut = 1 OR o.c = 0)) AS first_c FROM tops t),
+sp AS (SELECT doc_id, page_no, r, first_c, max(c) AS last_c, min(x0) AS x0, max(x1) AS x1, min(y0) AS y0, max(y1) AS y1 FROM tn GROUP BY doc_id, page_no, r, first_c),
+hit AS (SELECT s.doc_id, s.page_no, s.r, s.first_c, w.word_seq, w.text, min(s.r) OVER (PARTITION BY w.doc_id, w.page_no, w.word_seq) AS top FROM sp s JOIN word w ON w.doc_id = s.doc_id AND w.page_no = s.page_no AND (w.x0 + w.x1) / 2 BETWEEN s.x0 AND s.x1 AND (w.y0 + w.y1) / 2 BETWEEN s.y0 AND s.y1),
+said AS (SELECT doc_id, page_no, r, first_c, trim(string_agg(text, ' ' ORDER BY word_seq)) AS text FROM hit WHERE r = top GROUP BY ALL),
+col AS (SELECT t.doc_id, t.page_no, t.c, max(CASE WHEN t.r = 0 THEN s.text END) AS up, max(CASE WHEN t.r = 1 THEN s.text END) AS low, max(CASE WHEN t.r = 0 THEN t.first_c END) AS a, max(CASE WHEN t.r = 1 THEN t.first_c END) AS b,
+  max(CASE WHEN t.r = 0 THEN p.last_c END) AS y, max(CASE WHEN t.r = 1 THEN p.last_c END) AS z FROM tn t JOIN sp p USING (doc_id, page_no, r, first_c) LEFT JOIN said s USING (doc_id, page_no, r, first_c) GROUP BY t.doc_id, t.page_no, t.c),
+two AS (SELECT *, coalesce(up, '') <> '' AND coalesce(low, '') <> '' AND a <= b AND y >= z AS over FROM col)
+SELECT doc_id, page_no, CAST(c AS BIGINT) AS col_index, coalesce(nullif(low, ''), up, '') AS raw_header, CASE WHEN over THEN up END AS parent_header, CASE WHEN over THEN concat(up, ' / ', low) ELSE coalesce(nullif(low, ''), up, '') END AS path FROM two"""
 MERGED_SQL = f"""WITH {q.WITH}, {GRID}, p AS (SELECT h.doc_id, h.page_no, k.c AS divider, h.x0, h.y0, k.x1, h.y1, k.x0 AS x FROM cell h JOIN cell k ON k.doc_id = h.doc_id AND k.page_no = h.page_no AND k.c = h.c + 1 AND h.r = 0 AND k.r = 0)
 SELECT doc_id, page_no, divider, x0, y0, x1, y1, 'horizontal' AS merge_type FROM p WHERE NOT EXISTS (SELECT 1 FROM merged v WHERE v.orientation = 'vertical' AND v.doc_id = p.doc_id AND v.page_no = p.page_no
   AND abs(v.position - p.x) <= 2 AND v."start" + CASE WHEN v.doc_id % 2 = 0 AND v.position >= 140 AND v.position <= 260 THEN 20 ELSE 0 END <= p.y0 + 1 AND v."end" >= p.y1 - 1)"""
@@ -230,6 +250,7 @@ QUERIES = {
     "region_precedence": (region_precedence, f"{RW}, {BOUNDS}, {STEPS} SELECT doc_id, page_no, unnest(kept).s AS block_seq FROM fin"),
     "column_proximity": (column_proximity, PROXIMITY_SQL),
     "merged_headers": (merged_headers, MERGED_SQL),
+    "header_trees": (header_trees, TREES_SQL),
     "header_cells": (_header_cells, f"WITH {q.WITH}, {GRID}, {HEADS} SELECT * FROM raw"),
     "header_texts": (lambda x, d: r.header_texts(_header_cells(x, d)).select(*g.PAGE, F.array_join("header_texts", "|").alias("headers")), f"""WITH {q.WITH}, {GRID}, {HEADS}, f AS (SELECT doc_id, page_no, raw_header, min(c) AS c FROM raw WHERE raw_header <> '' GROUP BY ALL)
 SELECT doc_id, page_no, string_agg(raw_header, '|' ORDER BY c) AS headers FROM f GROUP BY doc_id, page_no"""),
