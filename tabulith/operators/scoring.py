@@ -17,8 +17,8 @@ REGION = ["doc_id", "region_index"]
 
 
 def anchors(blocks: DataFrame, notes: bool = False) -> DataFrame:
-    """Text blocks that are titles, with their type."""
-    t = blocks.where("block_type = 0").withColumn("table_type", title_type(F.col("text"), notes))
+    """Text blocks that are titles, with their type, which is found once a block (exploded) and not again by the filter."""
+    t = blocks.where("block_type = 0").select("*", F.explode(F.array(title_type(F.col("text"), notes))).alias("table_type"))
     return t.where("table_type is not null")
 
 
