@@ -24,7 +24,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates: SimHash and pivots over five-word shingles, similarity 0.8.
+    """One document of each component of near-duplicates: pairs by SimHash and pivots over five-word shingles, similarity 0.8.
 
     The smallest id stays, null last; texts without a word are one component."""
     return similar.drop_near_duplicates(docs)

@@ -1,14 +1,19 @@
 """Near-duplicates by similarity of shingles: SimHash with pivot distance tables, then verification.
 
-Two texts at a Jaccard similarity of 0.8 differ in about ten of 64 SimHash bits, too many for blocks
-of equal bits; so pairs meet in bands of minima of their shingles' hashes. Their SimHashes'
-distances to the pivots discard those whose coordinates differ too much, the Hamming distance
-others, and so does a similarity of their smallest hashes that is below what is asked for by more
+Two texts at a Jaccard similarity of 0.8 differ in at most 0.152 of their SimHash bits: ten of 64, too many
+for a few blocks of equal bits. So a text has a SimHash of 2,048 bits, and pairs meet where one of KEYS
+stretches of KEY_BITS bits is equal; 128 further bits, in no stretch, discard those that differ in too many.
+Then the distances of the first 64 bits to the pivots discard those whose coordinates differ too much,
+and so does a similarity of their smallest hashes that is below what is asked for by more
 than a sample's error. The survivors' similarity is that of both whole sets of distinct shingles,
-made again from the texts that share a band. SimHashes are of distinct shingles too, so that how
+made again from the texts of pairs left. SimHashes are of distinct shingles too, so that how
 many bits differ follows from the similarity, however often a passage is repeated.
 
-A bucket with over MOST_IN_BUCKET members has a centre: the member that differs least from the
+A shingle's hash bits are the majority of three signed rows of a Hadamard matrix, drawn by its hash; a text's
+sums over all its shingles then take one fast transform, not a sum for each bit.
+
+Where over MOST_IN_BUCKET / 2 pairs a member of a bucket differ in few bits, the bucket has a centre: the member whose bits
+differ least from those most of its members have, or in later rounds the one that differs least from the
 shingles that most of its members have. Each is first met with the centre alone. Buckets whose centres are then in one component are merged
 and met with the centre of all their members, as theirs may each lack what the others share. A member outside the
 centre's component is not similar to the centre, and if its set of shingles differs from the
@@ -24,6 +29,7 @@ components is lost. Only the choice of a centre, which may be any member, goes b
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +41,19 @@ from pyspark.sql import functions as F
 from tabulith.llm import chunks
 from tabulith.llm.components import components
 from tabulith.llm.simhash import MOST_IN_BUCKET, SEED, _hamming, _near_pivots, pivots
-from tabulith.llm.work import keep_rows, prepare, stash, text_key
+from tabulith.llm.work import keep_rows, partitions, prepare, stash, text_key
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Bands of ROWS minima each: 0.998 of pairs at a similarity of 0.8 share a band.
-BANDS, ROWS = 16, 5
+#: Bits of a SimHash, in the order of a fixed permutation: 128 to tell pairs apart, then KEYS keys of KEY_BITS bits.
+PRINT = 2048
+#: 0.9986 of pairs at a similarity of 0.8 share a key (0.848 of their bits agree).
+KEYS, KEY_BITS = 88, 16
 SKETCH = 256
-#: Most bits between the SimHashes of two sets at the similarity: the mean is ten, the deviation three.
-MOST_BITS = 24
+#: Most bits of 64 and of 128 between the SimHashes of two sets at the similarity: means of 10 and 19, deviations of 3 and 4.
+MOST_BITS, MOST_BITS_128 = 24, 37
+#: Keys in a task's part of the buckets, all pairs looked at together, and members up to which all pairs of a bucket are looked at.
+ENTRIES, TOGETHER, LOOKED_AT = 1 << 20, 1 << 23, 1 << 12
 #: A list of differences is met where one of its sides has at most so many members.
 FEW = 64
 #: How far below the similarity that of two full sketches may be: six deviations of a sample of SKETCH at 0.8.
@@ -56,48 +66,178 @@ COUNTED = 1 << 20
 SALTS = 32
 #: Rows by which a bucket's counts from all tasks are merged before they meet.
 MERGED = 256
-
-
-def shingles(text: bytes, shingle: int) -> np.ndarray:
-    """Distinct 64-bit hashes of a text's shingles in ascending order (a text of fewer words is one)."""
-    words = text.lower().split()
-    digest, joined = xxhash.xxh64_intdigest, b" ".join
-    if len(words) <= shingle:
-        return np.array([digest(joined(words), SEED)], np.uint64)
-    return np.unique(np.array([digest(joined(x), SEED) for x in zip(*(words[i:] for i in range(shingle)), strict=False)], np.uint64))
+#: Texts whose SimHashes are made together, and bytes of text whose shingles are: larger blocks would be mapped anew for each step.
+ROWS, PIECE = 32, 1 << 19
+ENTRY = np.dtype([("bucket", "<u4"), ("node", "<i8"), ("low", "<u8"), ("high", "<u8")])
+
+
+def shingles(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct 64-bit hashes of each lower-cased text's shingles in ascending order, and where each text's begin, with the
+    end (a text of fewer words is one shingle)."""
+    first, codes, distinct = chunks.words(texts)
+    digest = xxhash.xxh64_intdigest
+    value = np.fromiter(map(digest, chunks.strings(pc.cast(distinct, pa.large_binary())), repeat(SEED)), np.uint64, len(distinct))
+    factors = np.array([digest(f"word {i}", SEED) | 1 for i in range(shingle)], np.uint64)
+    words = np.concatenate([value[codes], np.zeros(shingle, np.uint64)])
+    n = np.diff(first)
+    bounds = np.concatenate([[0], np.cumsum(np.maximum(1, n - shingle + 1))])
+    at = np.repeat(first[:-1] - bounds[:-1], np.diff(bounds)) + np.arange(bounds[-1])
+    out = np.zeros(bounds[-1], np.uint64)
+    for i, factor in enumerate(factors):
+        out += words[at + i] * factor
+    for k in np.flatnonzero(n < shingle):
+        out[bounds[k]] = (words[first[k] : first[k + 1]] * factors[: n[k]]).sum()
+    out = chunks.mix(out, np.uint64(0))
+    return _distinct(out, bounds)
+
+
+def _distinct(values: np.ndarray, bounds: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Each stretch's distinct values in ascending order, the smallest most of them if given, and the stretches' new bounds."""
+    for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        values[i:j].sort()
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    new[bounds[:-1]] = True
+    if most is not None:
+        upto = np.cumsum(new)
+        new &= upto - np.repeat(upto[bounds[:-1]], np.diff(bounds)) < most
+    return values[new], np.concatenate([[0], np.cumsum(new)])[bounds]
+
+
+def simhashes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of PRINT / 16 values of 16 bits for each stretch of hashes: a bit is 1 where the sum of its shingles' signs is over 0."""
+    order, out = np.random.default_rng(SEED).permutation(PRINT), []
+    for at in range(0, len(bounds) - 1, ROWS):
+        ends = bounds[at : at + ROWS + 1]
+        drawn = chunks.mix(hashes[ends[0] : ends[-1]], np.uint64(2))
+        row = np.repeat(np.arange(len(ends) - 1) * PRINT, np.diff(ends))
+        sums = np.zeros((len(ends) - 1) * PRINT)
+        for i in range(3):
+            bits = (drawn >> np.uint64(16 * i)).astype(np.uint16)
+            sums += np.bincount(row + bits % PRINT, 1 - 2.0 * (bits >= 1 << 15), len(sums))
+        sums = sums.astype(np.float32).reshape(-1, PRINT)
+        width = 1
+        while width < PRINT:
+            pair = sums.reshape(len(sums), -1, 2, width)
+            sums = np.stack([pair[:, :, 0] + pair[:, :, 1], pair[:, :, 0] - pair[:, :, 1]], 2).reshape(len(sums), PRINT)
+            width *= 2
+        out.append(np.packbits(np.take(sums, order, 1) > 0, axis=1, bitorder="little").view("<u2"))
+    return np.concatenate(out)
+
+
+def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Stretches of values as an array of binary values."""
+    ends = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _sketches(texts: pa.Array, shingle: int) -> list[pa.Array]:
+    """SimHash's first 64 bits, the next 64, keys, smallest 32-bit hashes, and a hash of the whole, of texts' distinct shingles."""
+    hashes, bounds = shingles(texts, shingle)
+    bits = simhashes(hashes, bounds)
+    fp = np.ascontiguousarray(bits[:, :8]).view("<i8")
+    keys = np.ascontiguousarray(bits[:, 8 : 8 + KEYS])
+    small = _distinct((chunks.mix(hashes, np.uint64(1)) >> np.uint64(32)).astype("<u4"), bounds, SKETCH)
+    node = [xxhash.xxh64_intdigest(hashes[i:j].tobytes(), SEED) - (1 << 63) for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    return [pa.array(fp[:, 0].copy()), pa.array(fp[:, 1].copy()), _binary(keys.reshape(-1), np.arange(len(keys) + 1) * KEYS), _binary(*small), pa.array(node, pa.int64())]
 
 
 def sketch(text: bytes, shingle: int) -> tuple[int, list[int], bytes, int]:
-    """SimHash, bands, smallest 32-bit hashes, and a hash of the whole, of a text's distinct shingles."""
-    digest, hashes = xxhash.xxh64_intdigest, shingles(text, shingle)
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    fp = int(np.packbits(2 * bits.sum(0, dtype=np.int64) > len(hashes), bitorder="little").view("<i8")[0])
-    # one permutation: a hash's place among BANDS * ROWS bins, and its rank there; an empty bin takes the next full one's
-    low = hashes & np.uint64(0xFFFFFFFF)
-    place = ((hashes >> np.uint64(32)) * np.uint64(BANDS * ROWS) >> np.uint64(32)).astype(np.int64)
-    least = np.full(BANDS * ROWS, 1 << 32, np.uint64)
-    np.minimum.at(least, place, low)
-    full = np.flatnonzero(least < 1 << 32)
-    at = np.searchsorted(full, np.arange(BANDS * ROWS)) % len(full)
-    values = least[full[at]].reshape(BANDS, ROWS)
-    bands = [digest(v.tobytes(), i) - (1 << 63) for i, v in enumerate(values)]
-    smallest = np.unique(chunks.mix(hashes, np.uint64(1)) >> np.uint64(32)).astype("<u4")[:SKETCH]
-    return fp, bands, smallest.tobytes(), digest(hashes.tobytes(), SEED) - (1 << 63)
+    """SimHash, keys, smallest 32-bit hashes, and a hash of the whole, of a text's distinct shingles."""
+    fp, _, keys, small, node = (x[0].as_py() for x in _sketches(pa.array([text.lower().decode()], pa.large_string()), shingle))
+    return fp, np.frombuffer(keys, "<u2").tolist(), small, node
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, text_key, points, fp, bands, sketch, node; null text is empty."""
+    """doc_id, text_key, points, fp, fp2, keys, sketch, node; null text is empty."""
     prepare(docs.sparkSession)
     keys = text_key(docs, id_col, text_col)
     frame = docs.select(keys[0].alias("doc_id"), keys[1].alias("text_key"), keys[2].alias("points"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks.pieces(batches):
-            found = [sketch(x or b"", shingle) for x in pc.cast(part.column(3), pa.large_binary()).to_pylist()]
-            fp, bands, small, node = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(fp, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(small, pa.binary()), pa.array(node, pa.int64())], names=["doc_id", "text_key", "points", "fp", "bands", "sketch", "node"])
+        for part in chunks.pieces(batches, most=PIECE):
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], *_sketches(chunks.texts(part, lower=True), shingle)], names=["doc_id", "text_key", "points", "fp", "fp2", "keys", "sketch", "node"])
+
+    return frame.mapInArrow(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, text_key long, points int, fp long, fp2 long, keys binary, sketch binary, node long")
+
+
+def _centre(found: np.ndarray) -> int:
+    """The node of entries whose bits differ least from those that most of them have (ties: the smallest)."""
+    far = np.zeros(len(found), np.int64)
+    for half in ("low", "high"):
+        bits = np.unpackbits(np.ascontiguousarray(found[half]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        most = np.packbits(2 * bits.sum(0, dtype=np.int64) > len(found), bitorder="little").view("<u8")[0]
+        far += np.bitwise_count(found[half] ^ most)
+    return int(found["node"][far == far.min()].min())
+
+
+def met_in_buckets(found: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Nodes a and b of pairs within entries of the same bucket whose bits may be those of similar sets, and whether b is rather a member
+    of a crowded bucket, a its centre."""
+    found = found[np.argsort(found["bucket"], kind="stable")]
+    starts = np.flatnonzero(np.r_[True, found["bucket"][1:] != found["bucket"][:-1]])
+    sizes = np.diff(np.r_[starts, len(found)])
+    starts, sizes = starts[sizes > 1], sizes[sizes > 1]
+
+    def crowded(members: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+        return np.full(len(members), _centre(members)), members["node"], True
+
+    for at, n in zip(starts[sizes > LOOKED_AT], sizes[sizes > LOOKED_AT], strict=True):
+        yield crowded(found[at : at + n])
+    starts, sizes = starts[sizes <= LOOKED_AT], sizes[sizes <= LOOKED_AT]
+    cut = np.cumsum(sizes * (sizes - 1) // 2) // TOGETHER
+    for part in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(cut)) + 1):
+        low, high, node = (found[x] for x in ("low", "high", "node"))
+        run = np.repeat(part, sizes[part])
+        i = np.arange(len(run)) + np.repeat(starts[part] - np.cumsum(sizes[part]) + sizes[part], sizes[part])
+        end, left, right, of, d = starts[run] + sizes[run], [], [], [], 0
+        while len(i):
+            d += 1
+            more = i + d < end
+            i, end, run = i[more], end[more], run[more]
+            near = np.bitwise_count(low[i] ^ low[i + d]) + np.bitwise_count(high[i] ^ high[i + d]) <= MOST_BITS_128
+            left.append(i[near]), right.append(i[near] + d), of.append(run[near])
+        if not left:
+            continue
+        left, right, of = (np.concatenate(x) for x in (left, right, of))
+        pairs = np.bincount(of, minlength=len(starts))
+        full = np.zeros(len(starts), bool)
+        for k in np.flatnonzero(2 * pairs > MOST_IN_BUCKET * (np.minimum(sizes, pairs + 1))):
+            full[k] = True
+            own = of == k
+            yield crowded(found[np.union1d(left[own], right[own])])
+        plain = ~full[of]
+        a, b = node[left[plain]], node[right[plain]]
+        yield np.minimum(a, b), np.maximum(a, b), False
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """a, b, star of nodes(node, fp, fp2, keys): pairs that share a key and differ in few bits; in crowded buckets members b of a centre a."""
+    parts = max(partitions(nodes.sparkSession), -(-nodes.count() * KEYS // ENTRIES))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Entries by parts of the buckets, a row for each part."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.frombuffer(b"".join(batch.column("keys").to_pylist()), "<u2").reshape(-1, KEYS)
+            out = np.empty(keys.size, ENTRY)
+            out["bucket"] = (keys + (np.arange(KEYS, dtype=np.uint32) << np.uint32(KEY_BITS))).reshape(-1)
+            for name, column in (("node", "node"), ("low", "fp"), ("high", "fp2")):
+                out[name] = np.repeat(batch.column(column).to_numpy().view(ENTRY[name]), KEYS)
+            part = out["bucket"].astype(np.int64) * parts // (KEYS << KEY_BITS)
+            out = out[np.argsort(part, kind="stable")]
+            which, n = np.unique(part, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), _binary(out, np.concatenate([[0], np.cumsum(n)]))], names=["part", "entries"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((p, x) for batch in batches for p, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        for _, of_part in groupby(rows, lambda x: x[0]):
+            for a, b, star in met_in_buckets(np.frombuffer(b"".join(x for _, x in of_part), ENTRY)):
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(np.full(len(a), star))], names=["a", "b", "star"])
 
-    return frame.mapInArrow(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, text_key long, points int, fp long, bands array<long>, sketch binary, node long")
+    entries = nodes.select("node", "fp", "fp2", "keys").mapInArrow(dealt, "part int, entries binary")
+    return entries.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, "a long, b long, star boolean").distinct()
 
 
 def whole_sets(docs: DataFrame, seen: DataFrame, wanted: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
@@ -108,9 +248,8 @@ def whole_sets(docs: DataFrame, seen: DataFrame, wanted: DataFrame, shingle: int
     frame = texts.join(key, ["k", "p"]).dropDuplicates(["node"]).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks.pieces(batches):
-            sets = [shingles(x or b"", shingle).tobytes() for x in pc.cast(part.column(1), pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "whole"])
+        for part in chunks.pieces(batches, most=PIECE):
+            yield pa.RecordBatch.from_arrays([part.column(0), _binary(*shingles(chunks.texts(part, lower=True), shingle))], names=["node", "whole"])
 
     return frame.mapInArrow(run, "node long, whole binary")
 
@@ -153,16 +292,24 @@ def _kept(pairs: DataFrame, of_node: DataFrame, column: str, test: Callable[[byt
     return met.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of pairs(a, b) of nodes(node, fp, sketch) whose sets(node, whole) have the similarity."""
+def _possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Those of pairs(a, b) of nodes(node, fp, sketch) whose SimHashes and sketches may be those of similar sets."""
     side = lambda n: nodes.select(F.col("node").alias(n), F.col("fp").alias(f"f{n}"))
     table = lambda n: F.array(*(_hamming(F.col(f"f{n}"), F.lit(p)) for p in pivots())).alias(f"d{n}")
     near = pairs.distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "fa", "fb", table("a"), table("b"))
     near = near.where(_near_pivots("da", "db", MOST_BITS) & (_hamming(F.col("fa"), F.col("fb")) <= MOST_BITS)).select("a", "b")
-    near = stash(_kept(near, nodes, "sketch", lambda x, y: possible(x, y, similarity)), "possible")
+    return stash(_kept(near, nodes, "sketch", lambda x, y: possible(x, y, similarity)), "possible")
+
+
+def _similar(near: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of near(a, b) whose sets(node, whole) have the similarity."""
     return _kept(near, sets, "whole", lambda x, y: set_similarity(x, y) >= similarity)
 
 
+def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    return _similar(_possible(pairs, nodes, similarity), sets, similarity)
+
+
 def differences(centre: bytes, member: bytes, similarity: float) -> tuple[np.ndarray, int, int]:
     """Hashes in one of two whole sets, the member's own first, and the lengths of two prefixes of them.
 
@@ -281,17 +428,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     Texts with the same shingles are one node, texts without words too; an empty table gives no rows.
     """
     seen = stash(sketches(docs, id_col, text_col, shingle), "sketches")
-    nodes = stash(seen.groupBy("node").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "nodes")
-    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    sizes = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = stash(keyed.join(sizes, ["band", "key"]), "bands")
-    sets = stash(whole_sets(docs, seen, met.select("node").distinct(), shingle, id_col, text_col), "sets")
-    small, large = met.where(F.col("n") <= MOST_IN_BUCKET), met.where(F.col("n") > MOST_IN_BUCKET)
-    right = small.select("band", "key", F.col("node").alias("b"))
-    pairs = small.select("band", "key", F.col("node").alias("a")).join(right, ["band", "key"]).where("a < b").select("a", "b")
-    centred = _centred(large.select(F.xxhash64("band", "key").alias("group"), F.col("node").alias("member")), nodes)
-    groups = stash(centred.select(F.col("centre").alias("group"), "centre", "member").distinct(), "groups")
-    ends = components(_verified(pairs.unionByName(_stars(groups)), nodes, sets, similarity))
+    nodes = stash(seen.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "fp2", "keys", "sketch"))), "nodes")
+    met = stash(candidates(nodes), "met")
+    groups = met.where("star").select(F.col("a").alias("group"), F.col("a").alias("centre"), F.col("b").alias("member"))
+    near = _possible(met.where("a <> b").select("a", "b"), nodes, similarity)
+    wanted = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(groups.select(F.col("member").alias("node"))).distinct()
+    sets = stash(whole_sets(docs, seen, wanted, shingle, id_col, text_col), "sets")
+    ends = components(_similar(near, sets, similarity))
     if groups.limit(1).count():
         homes = groups.select("group").distinct().join(ends, F.col("group") == F.col("node"), "left").select("group", F.coalesce("component", "group").alias("home"))
         merged = _to_members(groups.select("group", "member"), homes).select(F.col("home").alias("group"), "member").distinct()

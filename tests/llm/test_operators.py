@@ -552,6 +552,34 @@ def test_similar_documents(spark, docs):
     assert left.columns == docs.columns and left.count() == len({r.component for r in similar.near_duplicates(docs).collect()})
 
 
+def test_pairs_come_from_simhashes(spark):
+    """Pairs are those that share a key of the SimHash and differ in few of 128 bits, all of them; a crowded bucket gives its centre's.
+    Pairs at the similarity nearly all share a key."""
+    import pyarrow as pa
+
+    draw, texts = random.Random(12), []
+    for i in range(150):
+        words = [f"w{draw.randrange(100_000)}" for _ in range((8, 60, 400)[i % 3])]
+        changed = list(words)
+        at = draw.randrange(len(words) - 2)
+        changed[at : at + max(1, len(words) // 12)] = [f"x{draw.randrange(100_000)}" for _ in range(max(1, len(words) // 12))]
+        texts += [" ".join(words), " ".join(changed)]
+    fp, fp2, keys, _, node = (x.to_pylist() for x in similar._sketches(pa.array(texts, pa.large_string()), similar.SHINGLE))
+    keys = [np.frombuffer(k, "<u2") for k in keys]
+    bits = lambda i, j: sum(((x[i] ^ x[j]) & ((1 << 64) - 1)).bit_count() for x in (fp, fp2))
+    want = {tuple(sorted((node[i], node[j]))) for i in range(300) for j in range(i) if (keys[i] == keys[j]).any() and bits(i, j) <= similar.MOST_BITS_128}
+    nodes = spark.createDataFrame([(n, a, b, k.tobytes()) for n, a, b, k in zip(node, fp, fp2, keys, strict=True)], "node long, fp long, fp2 long, keys binary")
+    got = similar.candidates(nodes).collect()
+    assert {(r.a, r.b) for r in got if not r.star} == want and len(got) == len(want) > 80
+    sets = five_word_sets(texts)
+    alike = [i for i in range(0, 300, 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])]
+    assert len(alike) > 20 and all(tuple(sorted((node[i], node[i + 1]))) in want for i in alike)
+    entries = np.zeros(80, similar.ENTRY)
+    entries["node"], entries["low"] = np.arange(80), [0, *(1 << (i % 64) for i in range(79))]
+    (centres, members, star), *rest = similar.met_in_buckets(entries)
+    assert star and set(centres) == {0} and set(members) == set(range(80)) and not any(len(a) for a, _, _ in rest)
+
+
 def test_large_buckets_lose_no_link(spark, monkeypatch):
     """Copies of copies in large buckets: classes are those of all pairs at the similarity that share a band."""
     monkeypatch.setattr(similar, "MOST_IN_BUCKET", 4)
