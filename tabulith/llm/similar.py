@@ -12,6 +12,11 @@ many bits differ follows from the similarity, however often a passage is repeate
 A shingle's hash bits are the majority of three signed rows of a Hadamard matrix, drawn by its hash; a text's
 sums over all its shingles then take one fast transform, not a sum for each bit.
 
+Not all pairs that share a key are looked at further: in dense groups they grow with the square of the group. First each text is held
+against two of those that it meets, the one of the smallest number and the one that differs in the fewest bits, and again with
+those outside the component that this gives (TIES rounds). Then all pairs are taken whose texts are still in different
+components: a pair within one adds nothing to it.
+
 Where over MOST_IN_BUCKET / 2 pairs a member of a bucket differ in few bits, the bucket has a centre: the member whose bits
 differ least from those most of its members have, or in later rounds the one that differs least from the
 shingles that most of its members have. Each is first met with the centre alone. Buckets whose centres are then in one component are merged
@@ -22,7 +27,8 @@ a link that is still missing joins texts with a common difference from the centr
 listed by the shingles in which they differ from it, those that the centre lacks first, and only by
 as many of them as a pair may leave unmatched plus one (a prefix filter). Lists with few members of
 one side are met; longer ones are the next round's buckets. A list's members agree in its shingle,
-so that differences become fewer and rounds end. Differences are those of whole sets: no link between
+so that differences become fewer and rounds end. A group whose longer lists have more members in all than it has itself, as where
+no member is near to what the others share, goes the plain way instead: all its pairs that share a key, of different components, that differ in few bits. Differences are those of whole sets: no link between
 components is lost. Only the choice of a centre, which may be any member, goes by the smallest hashes.
 """
 
@@ -40,7 +46,7 @@ from pyspark.sql import functions as F
 
 from tabulith.llm import chunks
 from tabulith.llm.components import components
-from tabulith.llm.simhash import MOST_IN_BUCKET, SEED, _hamming, _near_pivots, pivots
+from tabulith.llm.simhash import SEED, _hamming, _near_pivots, pivots
 from tabulith.llm.work import keep_rows, partitions, prepare, stash, text_key
 
 SHINGLE = 5
@@ -54,6 +60,8 @@ SKETCH = 256
 MOST_BITS, MOST_BITS_128 = 24, 37
 #: Keys in a task's part of the buckets, all pairs looked at together, and members up to which all pairs of a bucket are looked at.
 ENTRIES, TOGETHER, LOOKED_AT = 1 << 20, 1 << 23, 1 << 12
+#: Half as many pairs a member make a bucket crowded.
+MOST_IN_BUCKET = 6
 #: A list of differences is met where one of its sides has at most so many members.
 FEW = 64
 #: How far below the similarity that of two full sketches may be: six deviations of a sample of SKETCH at 0.8.
@@ -69,6 +77,10 @@ MERGED = 256
 #: Texts whose SimHashes are made together, and bytes of text whose shingles are: larger blocks would be mapped anew for each step.
 ROWS, PIECE = 32, 1 << 19
 ENTRY = np.dtype([("bucket", "<u4"), ("node", "<i8"), ("low", "<u8"), ("high", "<u8")])
+#: Entries of texts whose component is known.
+PLACED = np.dtype([*ENTRY.descr, ("component", "<i8")])
+#: Rounds in which texts are held against two others each.
+TIES = 1
 
 
 def shingles(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,49 +183,90 @@ def _centre(found: np.ndarray) -> int:
     return int(found["node"][far == far.min()].min())
 
 
-def met_in_buckets(found: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """Nodes a and b of pairs within entries of the same bucket whose bits may be those of similar sets, and whether b is rather a member
-    of a crowded bucket, a its centre."""
+def _buckets(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries in order of their bucket, and where those of several begin and how many they are."""
     found = found[np.argsort(found["bucket"], kind="stable")]
     starts = np.flatnonzero(np.r_[True, found["bucket"][1:] != found["bucket"][:-1]])
     sizes = np.diff(np.r_[starts, len(found)])
-    starts, sizes = starts[sizes > 1], sizes[sizes > 1]
+    return found, starts[sizes > 1], sizes[sizes > 1]
 
-    def crowded(members: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
-        return np.full(len(members), _centre(members)), members["node"], True
 
-    for at, n in zip(starts[sizes > LOOKED_AT], sizes[sizes > LOOKED_AT], strict=True):
-        yield crowded(found[at : at + n])
-    starts, sizes = starts[sizes <= LOOKED_AT], sizes[sizes <= LOOKED_AT]
+def _pairs_in_buckets(found: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of both entries, bits that differ and the bucket of pairs in the same bucket whose bits may be those of similar sets, many
+    buckets at a time; not those in one component."""
+    low, high = (np.ascontiguousarray(found[x]) for x in ("low", "high"))
+    home = np.ascontiguousarray(found["component"]) if "component" in found.dtype.names else None
     cut = np.cumsum(sizes * (sizes - 1) // 2) // TOGETHER
     for part in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(cut)) + 1):
-        low, high, node = (found[x] for x in ("low", "high", "node"))
         run = np.repeat(part, sizes[part])
         i = np.arange(len(run)) + np.repeat(starts[part] - np.cumsum(sizes[part]) + sizes[part], sizes[part])
-        end, left, right, of, d = starts[run] + sizes[run], [], [], [], 0
+        end, out, d = starts[run] + sizes[run], [], 0
         while len(i):
             d += 1
             more = i + d < end
             i, end, run = i[more], end[more], run[more]
-            near = np.bitwise_count(low[i] ^ low[i + d]) + np.bitwise_count(high[i] ^ high[i + d]) <= MOST_BITS_128
-            left.append(i[near]), right.append(i[near] + d), of.append(run[near])
-        if not left:
-            continue
-        left, right, of = (np.concatenate(x) for x in (left, right, of))
+            differing = np.bitwise_count(low[i] ^ low[i + d]) + np.bitwise_count(high[i] ^ high[i + d])
+            near = differing <= MOST_BITS_128
+            if home is not None:
+                near &= home[i] != home[i + d]
+            out.append((i[near], i[near] + d, differing[near], run[near]))
+        if out:
+            yield tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _crowded(members: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    return np.full(len(members), _centre(members)), members["node"], True
+
+
+def met_in_buckets(found: np.ndarray, stars: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Nodes a and b of pairs within entries of the same bucket whose bits may be those of similar sets, and whether b is rather a member
+    of a crowded bucket, a its centre. Pairs and buckets within one component are left out. Without stars, no bucket counts as crowded."""
+    found, starts, sizes = _buckets(found)
+    large = (sizes > LOOKED_AT) & stars
+    for at, n in zip(starts[large], sizes[large], strict=True):
+        members = found[at : at + n]
+        if "component" not in found.dtype.names or (members["component"] != members["component"][0]).any():
+            yield _crowded(members)
+    starts, sizes, node = starts[~large], sizes[~large], found["node"]
+    for left, right, _, of in _pairs_in_buckets(found, starts, sizes):
         pairs = np.bincount(of, minlength=len(starts))
         full = np.zeros(len(starts), bool)
-        for k in np.flatnonzero(2 * pairs > MOST_IN_BUCKET * (np.minimum(sizes, pairs + 1))):
+        for k in np.flatnonzero((2 * pairs > MOST_IN_BUCKET * (np.minimum(sizes, pairs + 1))) & stars):
             full[k] = True
             own = of == k
-            yield crowded(found[np.union1d(left[own], right[own])])
+            yield _crowded(found[np.union1d(left[own], right[own])])
         plain = ~full[of]
         a, b = node[left[plain]], node[right[plain]]
         yield np.minimum(a, b), np.maximum(a, b), False
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """a, b, star of nodes(node, fp, fp2, keys): pairs that share a key and differ in few bits; in crowded buckets members b of a centre a."""
-    parts = max(partitions(nodes.sparkSession), -(-nodes.count() * KEYS // ENTRIES))
+def ties_in_buckets(found: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """node, first, its component, nearest, the bits that differ from it: for each node of a pair in a bucket, the other that comes first by
+    component and number, and the one of the fewest bits. A bucket that is not looked at ties all members to its centre."""
+    found, starts, sizes = _buckets(found)
+    node, home = found["node"], found["component" if "component" in found.dtype.names else "node"]
+    for at, n in zip(starts[sizes > LOOKED_AT], sizes[sizes > LOOKED_AT], strict=True):
+        members = found[at : at + n]
+        centre = at + int(np.argmax(members["node"] == _centre(members)))
+        bits = np.bitwise_count(members["low"] ^ found["low"][centre]) + np.bitwise_count(members["high"] ^ found["high"][centre])
+        centre_of = np.full(n, node[centre])
+        yield members["node"], centre_of, np.full(n, home[centre]), centre_of, bits
+    keep = sizes <= LOOKED_AT
+    for left, right, bits, _ in _pairs_in_buckets(found, starts[keep], sizes[keep]):
+        own, other, bits = np.r_[left, right], np.r_[right, left], np.r_[bits, bits]
+        if not len(own):
+            continue
+        first, near = np.lexsort((node[other], home[other], node[own])), np.lexsort((node[other], bits, node[own]))
+        new = np.r_[True, np.diff(node[own[first]]) != 0]
+        first, near = first[new], near[new]
+        yield node[own[first]], node[other[first]], home[other[first]], node[other[near]], bits[near]
+
+
+def _by_bucket(nodes: DataFrame, met: Callable[[np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What met gives for the entries of each part of the buckets of nodes(node, fp, fp2, keys, and component if known)."""
+    entry, parts = PLACED if "component" in nodes.columns else ENTRY, max(partitions(nodes.sparkSession), -(-nodes.count() * KEYS // ENTRIES))
+    columns = {"node": "node", "low": "fp", "high": "fp2", "component": "component"}
+    columns = {name: columns[name] for name in entry.names[1:]}
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Entries by parts of the buckets, a row for each part."""
@@ -221,10 +274,10 @@ def candidates(nodes: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             keys = np.frombuffer(b"".join(batch.column("keys").to_pylist()), "<u2").reshape(-1, KEYS)
-            out = np.empty(keys.size, ENTRY)
+            out = np.empty(keys.size, entry)
             out["bucket"] = (keys + (np.arange(KEYS, dtype=np.uint32) << np.uint32(KEY_BITS))).reshape(-1)
-            for name, column in (("node", "node"), ("low", "fp"), ("high", "fp2")):
-                out[name] = np.repeat(batch.column(column).to_numpy().view(ENTRY[name]), KEYS)
+            for name, column in columns.items():
+                out[name] = np.repeat(batch.column(column).to_numpy().view(entry[name]), KEYS)
             part = out["bucket"].astype(np.int64) * parts // (KEYS << KEY_BITS)
             out = out[np.argsort(part, kind="stable")]
             which, n = np.unique(part, return_counts=True)
@@ -233,11 +286,32 @@ def candidates(nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((p, x) for batch in batches for p, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
         for _, of_part in groupby(rows, lambda x: x[0]):
-            for a, b, star in met_in_buckets(np.frombuffer(b"".join(x for _, x in of_part), ENTRY)):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(np.full(len(a), star))], names=["a", "b", "star"])
+            yield from met(np.frombuffer(b"".join(x for _, x in of_part), entry))
 
-    entries = nodes.select("node", "fp", "fp2", "keys").mapInArrow(dealt, "part int, entries binary")
-    return entries.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, "a long, b long, star boolean").distinct()
+    entries = nodes.select("keys", *columns.values()).mapInArrow(dealt, "part int, entries binary")
+    return entries.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, schema)
+
+
+def candidates(nodes: DataFrame, stars: bool = True) -> DataFrame:
+    """a, b, star of nodes(node, fp, fp2, keys, and component if known): pairs that share a key and differ in few bits, not of one component;
+    in crowded buckets members b of a centre a, unless without stars."""
+
+    def run(found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a, b, star in met_in_buckets(found, stars):
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(np.full(len(a), star))], names=["a", "b", "star"])
+
+    return _by_bucket(nodes, run, "a long, b long, star boolean").distinct()
+
+
+def ties(nodes: DataFrame) -> DataFrame:
+    """a, first, nearest of nodes as for candidates: for each node that candidates names, two of those that it meets."""
+
+    def run(found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for columns in ties_in_buckets(found):
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["a", "first", "home", "nearest", "bits"])
+
+    found = _by_bucket(nodes, run, "a long, first long, home long, nearest long, bits long").where("a <> first or a <> nearest")
+    return found.groupBy("a").agg(F.min(F.struct("home", "first"))["first"].alias("first"), F.min(F.struct("bits", "nearest"))["nearest"].alias("nearest"))
 
 
 def whole_sets(docs: DataFrame, seen: DataFrame, wanted: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
@@ -429,12 +503,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     """
     seen = stash(sketches(docs, id_col, text_col, shingle), "sketches")
     nodes = stash(seen.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "fp2", "keys", "sketch"))), "nodes")
-    met = stash(candidates(nodes), "met")
+    tied = stash(ties(nodes), "ties")
+    met = tied.select(F.explode(F.array("a", "first", "nearest")).alias("node")).distinct()
+    nodes = stash(nodes.join(met, "node", "left_semi"), "met")  # all others share no key with a text that differs in few bits
+    sets = stash(whole_sets(docs, seen, nodes.select("node"), shingle, id_col, text_col), "sets")
+    ends = components(_verified(_tied(tied), nodes, sets, similarity))
+    for _ in range(TIES - 1):
+        ends = _joined(ends, _verified(_tied(ties(_placed(nodes, ends))), nodes, sets, similarity))
+    met = stash(candidates(_placed(nodes, ends)), "pairs")
     groups = met.where("star").select(F.col("a").alias("group"), F.col("a").alias("centre"), F.col("b").alias("member"))
-    near = _possible(met.where("a <> b").select("a", "b"), nodes, similarity)
-    wanted = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(groups.select(F.col("member").alias("node"))).distinct()
-    sets = stash(whole_sets(docs, seen, wanted, shingle, id_col, text_col), "sets")
-    ends = components(_similar(near, sets, similarity))
+    ends = _joined(ends, _verified(met.where("a <> b").select("a", "b"), nodes, sets, similarity))
     if groups.limit(1).count():
         homes = groups.select("group").distinct().join(ends, F.col("group") == F.col("node"), "left").select("group", F.coalesce("component", "group").alias("home"))
         merged = _to_members(groups.select("group", "member"), homes).select(F.col("home").alias("group"), "member").distinct()
@@ -450,12 +528,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
         side = lambda x, n: few.where(x).select("group", "hash", F.col("member").alias(n), F.col("component").alias(f"c{n}"))  # noqa: B023, E731
         more = side("far", "x").join(side("any", "y"), ["group", "hash"]).where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         more = stash(more.distinct(), "more")
-        groups = stash(_centred(met.where(F.least("n_far", "n_any") > FEW).select(F.xxhash64("group", "hash").alias("group"), "member"), nodes), "groups")
+        long = met.where(F.least("n_far", "n_any") > FEW).select("group", "hash", "member")
+        multiplied = stash(long.groupBy("group").count().join(groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")), "group").where("count > n").select("group"), "multiplied")
+        if multiplied.limit(1).count():
+            plain = groups.join(multiplied, "group", "left_semi").select(F.explode(F.array("centre", "member")).alias("node")).distinct()
+            plain = candidates(_placed(nodes.join(plain, "node", "left_semi"), ends), stars=False).select("a", "b")
+            more, long = more.unionByName(plain), long.join(multiplied, "group", "left_anti")
+        groups = stash(_centred(long.select(F.xxhash64("group", "hash").alias("group"), "member"), nodes), "groups")
         ends = _joined(ends, _verified(more.unionByName(_stars(groups)), nodes, sets, similarity))
     of_node = ends.select(F.col("node").alias("n"), "component")
     return seen.join(of_node, F.col("node") == F.col("n"), "left").select("doc_id", "text_key", "points", F.coalesce("component", F.col("node")).alias("component"))
 
 
+def _placed(nodes: DataFrame, ends: DataFrame) -> DataFrame:
+    """nodes with their component so far: their own number if none."""
+    of_node = ends.select(F.col("node").alias("n"), F.col("component").alias("c"))
+    return nodes.join(of_node, F.col("node") == F.col("n"), "left").select("node", "fp", "fp2", "keys", F.coalesce("c", "node").alias("component"))
+
+
+def _tied(found: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ties, a the smaller."""
+    each = found.select("a", F.explode(F.array("first", "nearest")).alias("b"))
+    return each.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def _stars(groups: DataFrame) -> DataFrame:
     return groups.where("centre <> member").select(F.col("centre").alias("a"), F.col("member").alias("b"))
 

@@ -580,6 +580,37 @@ def test_pairs_come_from_simhashes(spark):
     assert star and set(centres) == {0} and set(members) == set(range(80)) and not any(len(a) for a, _, _ in rest)
 
 
+def test_dense_groups_are_not_paired(spark, monkeypatch):
+    """Near copies of one text: pairs looked at grow with the texts, not with their square."""
+    draw, looked, real = random.Random(14), [], similar._possible
+
+    def counted(pairs, *rest):
+        looked.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(similar, "_possible", counted)
+    base = [f"w{draw.randrange(5000)}" for _ in range(150)]
+    texts = [" ".join([*base[:k], f"x{i}", *base[k + 1 :]]) for i, k in enumerate(draw.randrange(150) for _ in range(60))]
+    got = similar.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len({r.component for r in got}) == 1 and sum(looked) < 10 * len(texts)
+
+
+def test_dense_groups_without_links_end(spark):
+    """Texts that all resemble one that is not there, and none another: no centre is near, and lists of differences must not multiply."""
+    draw = random.Random(15)
+    base, texts = [f"v{draw.randrange(5000)}" for _ in range(150)], []
+    for i in range(90):
+        words = list(base)
+        for j in range(4):
+            words[draw.randrange(150)] = f"x{i}-{j}"
+        texts.append(" ".join(words))
+    sets = five_word_sets(texts)
+    want = joined(range(90), [(i, j) for j in range(90) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])])
+    got = {r.doc_id: r.component for r in similar.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert len(set(want.values())) > 40
+    assert {(i, j) for i in got for j in got if got[i] == got[j]} == {(i, j) for i in want for j in want if want[i] == want[j]}
+
+
 def test_large_buckets_lose_no_link(spark, monkeypatch):
     """Copies of copies in large buckets: classes are those of all pairs at the similarity that share a band."""
     monkeypatch.setattr(similar, "MOST_IN_BUCKET", 4)
