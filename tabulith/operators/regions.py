@@ -6,6 +6,7 @@ size of their page (width, height)."""
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -266,7 +267,7 @@ def joined_boxes(boxes: list[tuple[float, ...]], dx: float, dy: float) -> list[t
 
 
 _CORNERS = ["x0", "y0", "x1", "y1"]
-#: Boxes that a task unites by itself at a time; more makes the first step slower and the rounds after it fewer.
+#: Boxes that a task unites by itself at a time: pages with no more are united at once, on others more makes the first step slower and the rounds after it fewer.
 _AT_ONCE = 256
 
 
@@ -290,15 +291,52 @@ def _united_nearby(boxes: DataFrame, dx: float, dy: float) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys, "y0", "x0").mapInPandas(unite, kind)
 
 
+def _united_pages(boxes: DataFrame, dx: float, dy: float) -> DataFrame:
+    """Boxes united page by page: a page is one row of at most _AT_ONCE boxes, many of them are a batch."""
+    importable(boxes.sparkSession)
+    pages = boxes.groupBy(*PAGE).agg(F.collect_list(F.struct(*_CORNERS)).alias("boxes"))
+    kind = ", ".join(f"{c} {boxes.schema[c].dataType.simpleString()}" for c in [*PAGE, *_CORNERS])
+
+    def unite(batches):
+        for batch in batches:
+            lists = batch.column("boxes")
+            flat = lists.flatten()
+            listed = list(zip(*(x.to_pylist() for x in flat.flatten()), strict=True))
+            at, out, first = [], [], 0
+            for page, n in enumerate(lists.value_lengths().to_pylist()):
+                united = joined_boxes(listed[first : first + n], dx, dy)
+                out += united
+                at += [page] * len(united)
+                first += n
+            keys = [batch.column(c).take(pa.array(at, pa.int64())) for c in PAGE]
+            corners = [pa.array([b[i] for b in out], x.type) for i, x in enumerate(flat.flatten())]
+            yield pa.RecordBatch.from_arrays([*keys, *corners], names=[*PAGE, *_CORNERS])
+
+    return pages.mapInArrow(unite, kind)
+
+
 def united_boxes(boxes: DataFrame, dx: float, dy: float) -> DataFrame:
     """Page and box of what is left when boxes of a page are united while any two lie within dx and dy.
 
     A united box reaches further than its parts, and still the result has no order: two near boxes are in one box at the
-    end whichever pair goes first, as those that hold them are near as well. So tasks unite what they have, and then all
-    boxes go in rounds: each joins that of its neighbours, itself included, whose hash is least, until none has a
-    neighbour. No page is one task. Boxes that are null or reversed or have no page are left out; equal boxes are one; no boxes give none."""
+    end whichever pair goes first, as those that hold them are near as well. Pages with up to _AT_ONCE boxes are united
+    each by itself. On others tasks unite what they have, and then all boxes go in rounds, so that no such page is one task.
+    Boxes that are null or reversed or have no page are left out; equal boxes are one; no boxes give none."""
     ok = F.expr("x0 <= x1 and y0 <= y1 and doc_id is not null and page_no is not null")
-    now = stored(_united_nearby(boxes.where(ok).select(*PAGE, *_CORNERS).distinct(), dx, dy).distinct(), "united")
+    whole = stored(boxes.where(ok).select(*PAGE, *_CORNERS), "boxes")
+    # NaN is greater than all here, but not in Python
+    odd = F.bool_or(F.exists(F.array(*(F.col(c).cast("double") for c in _CORNERS)), F.isnan))
+    crowded = whole.groupBy(*PAGE).agg(F.count(F.lit(1)).alias("n"), odd.alias("odd")).where(f"n > {_AT_ONCE} or odd").select(*PAGE)
+    if crowded.isEmpty():
+        return _united_pages(whole, dx, dy)
+    crowded = stored(crowded, "crowded")
+    few, many = (whole.join(crowded, PAGE, how) for how in ("left_anti", "left_semi"))
+    return _united_pages(few, dx, dy).unionByName(_united_in_rounds(many, dx, dy))
+
+
+def _united_in_rounds(boxes: DataFrame, dx: float, dy: float) -> DataFrame:
+    """Boxes united in tasks and then in rounds: each joins that of its neighbours, itself included, whose hash is least, until none has a neighbour."""
+    now = stored(_united_nearby(boxes.distinct(), dx, dy).distinct(), "united")
     number = 0
     while True:
         number += 1

@@ -23,6 +23,20 @@ def _boxes(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, page_no long, x0 double, y0 double, x1 double, y1 double")
 
 
+def test_pages_of_few_boxes_are_united_at_once(spark, monkeypatch):
+    """3,000 pages of chains that grow: nothing of them is written for rounds, and a crowded page among them still is."""
+    written, store = [], regions.stored
+    monkeypatch.setattr(regions, "stored", lambda df, name: written.append(name) or store(df, name))
+    small = [(doc, 1, *map(float, box)) for doc in range(3000) for box in [(0, 0, 10, 10), (100, 0, 110, 10), (20, 0, 90, 10), (500, 500, 510, 510)]]
+    one = {(doc, 1, 0.0, 0.0, 110.0, 10.0) for doc in range(3000)} | {(doc, 1, 500.0, 500.0, 510.0, 510.0) for doc in range(3000)}
+    assert {tuple(r) for r in regions.united_boxes(_boxes(spark, small), 15, 8).collect()} == one
+    assert "nearest" not in written
+    crowd = [(-1, 1, 100.0 * i, 0.0, 100.0 * i + 10, 10.0) for i in range(300)] + [(-2, 1, 0.0, 0.0, float("nan"), 10.0), (-2, 1, 100.0, 0.0, 110.0, 10.0)]
+    found = regions.united_boxes(_boxes(spark, small + crowd), 15, 8)
+    assert {tuple(r) for r in found.where("doc_id <> -2").collect()} == one | set(crowd[:300])
+    assert "nearest" in written
+
+
 def test_united_boxes_have_no_order(spark):
     """Random pages, sparse and crowded, against one box after the other in any order; chains; a box that grows into others."""
     dice = random.Random(3)
