@@ -194,3 +194,43 @@ def test_rebar_parse_reads_every_word(spark, monkeypatch):
     monkeypatch.setattr(queries.b, "relation", lambda *_: spark.createDataFrame(words, "doc_id long, word_seq long, text string"))
     got = sorted((r.doc_id, r.word_seq, r.i, r.n_bars, r.bar_type, r.diameter_mm, r.spacing_mm) for r in queries.rebar_parse(spark, "").collect())
     assert got == [(1, 11, 0, 25, "T16", None, None), (1, 13, 0, 2, None, 16.0, None), (1, 13, 1, 1, None, 12.0, None), (2, 27, 0, None, "T10", None, 150)]
+
+
+def test_written_edges_equal_the_operators_of_pages(spark):
+    """Random words in 40 areas, ties in place and number among them: the same rows and columns as by page, in two or three shuffles less."""
+    from tabulith.operators import geometry as g
+
+    dice = random.Random(7)
+    rows = []
+    for page in range(40):
+        for seq in range(dice.randrange(1, 60)):
+            x, y = dice.randrange(0, 1600) / 4, dice.randrange(0, 320) / 4
+            rows.append((page, 1, seq // 2 if page % 2 else seq, x, y, x + dice.randrange(4, 120) / 4, y + dice.randrange(8, 40) / 4, str(seq)))
+    words = spark.createDataFrame(rows, "doc_id long, page_no long, word_seq long, x0 double, y0 double, x1 double, y1 double, text string")
+    areas = spark.createDataFrame([(p, 1, 5, -10.0, -10.0, 500.0, 200.0) for p in range(41)], "doc_id long, page_no long, block_seq long, rx0 double, ry0 double, rx1 double, ry1 double")
+    placed = g.text_rows(words)
+    ys, xs = {}, {}
+    for edges, out in ((g.row_bounds(placed), ys), (g.column_grid(g.text_cells(placed)), xs)):
+        for r in edges.orderBy("doc_id", "place").collect():
+            out.setdefault(r["doc_id"], []).append(r["edge"])
+    enough = {r["doc_id"] for r in words.groupBy("doc_id").count().where("count >= 6").collect()}
+    want = {p: (ys[p], xs[p]) for p in enough if len(ys[p]) >= 3 and len(xs.get(p, [])) >= 3}
+    found = {r["doc_id"]: (r["ys"], r["xs"]) for r in regions.written_grids(areas, words).collect()}
+    assert want and found.keys() == want.keys()
+    for p, (y, x) in want.items():
+        assert found[p][0] == y and all(abs(a - b) < 1e-9 for a, b in zip(found[p][1], x, strict=True))
+
+
+def test_lines_of_a_page_do_not_crowd_its_notes(spark, monkeypatch):
+    """A page of 60 lines and one title of notes is met as it is: nothing is written, and what is found so far is made once."""
+    from tabulith.operators import spatial
+
+    written, store = [], spatial.stored
+    monkeypatch.setattr(spatial, "stored", lambda df, name: written.append(name) or store(df, name))
+    titles = spark.createDataFrame([(1, 1, 0, 60.0, 80.0, 160.0, 90.0, 800.0, 1200.0)], "doc_id long, page_no long, block_seq long, x0 double, y0 double, x1 double, y1 double, width double, height double")
+    blocks = spark.createDataFrame([(1, 1, 1, 60.0, 600.0, "CLIENT:", 0)], "doc_id long, page_no long, block_seq long, x0 double, y0 double, text string, block_type long")
+    lines = [(1, 1, "l", 40.0, 10.0 + 5 * i, 300.0, 10.0 + 5 * i) for i in range(60)] + [(1, 1, "l", x, 0.0, x, 900.0) for x in (50.0, 300.0)]
+    segments = spark.createDataFrame(lines, "doc_id long, page_no long, kind string, p1x double, p1y double, p2x double, p2y double")
+    found = [tuple(r) for r in notes.notes_bounds(titles, blocks, segments).collect()]
+    assert found == [(1, 1, 0, 52.0, 87.0, 298.0, 303.0)]
+    assert not written
