@@ -234,3 +234,28 @@ def test_lines_of_a_page_do_not_crowd_its_notes(spark, monkeypatch):
     found = [tuple(r) for r in notes.notes_bounds(titles, blocks, segments).collect()]
     assert found == [(1, 1, 0, 52.0, 87.0, 298.0, 303.0)]
     assert not written
+
+
+def test_panel_lines_equal_the_operators_of_pages(spark):
+    """Random words, many laid over each other: the same lines as by page; a null text in a panel is no error."""
+    from tabulith.operators import geometry as g
+
+    dice = random.Random(11)
+    rows = []
+    for page in range(30):
+        for seq in range(dice.randrange(1, 80)):
+            x, y = dice.randrange(0, 160) / 4, dice.randrange(0, 240) / 4
+            rows.append((page, 1, seq // 2 if page % 2 else seq, x, y, x + dice.randrange(4, 40) / 4, y + dice.randrange(8, 40) / 4, dice.choice("ab-")))
+    kind = "doc_id long, page_no long, word_seq long, x0 double, y0 double, x1 double, y1 double, text string"
+    want = {}
+    for r in g.text_rows(regions.overlaid_dropped(spark.createDataFrame(rows, kind))).collect():
+        want.setdefault((r["doc_id"], r["row"]), []).append((r["x0"], r["x1"], r["cy"], r["text"]))
+    found = {}
+    for page in range(30):
+        for i, (_, line) in enumerate(notes.panel_lines([((True, w[2]), *w[3:]) for w in rows if w[0] == page])):
+            found[page, i] = [(w[0], w[1], w[3], w[4]) for w in line]
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()}
+    words = spark.createDataFrame([(1, 1, i, 10.0 + 30 * i, 10.0, 30.0 + 30 * i, 18.0, t) for i, t in enumerate(("COVER", "-", None, "25"))], kind)
+    titles = spark.createDataFrame([(1, 1, 4)], "doc_id long, page_no long, block_seq long")
+    bounds = titles.selectExpr("*", "0.0D as rx0", "0.0D as ry0", "400.0D as rx1", "400.0D as ry1")
+    assert [tuple(r) for r in notes.notes(titles, bounds, words).collect()] == [(1, 1, 4, 0, "note", None, "cover", "25")]
